@@ -6,19 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from replyscope.constants import COMPLAINT, FALLBACK_INTENT, LEXICON
-from replyscope.functions.text import has_any, has_any_lowered
+from replyscope.functions.text import has_any_lowered
+
+
+def _hits(lowered: Column, keywords: list[str]) -> Column:
+    total = F.lit(0)
+    for keyword in keywords:
+        total = total + F.contains(lowered, F.lit(keyword)).cast("int")
+    return total
 
 
 def lexicon_hits(col: Column, lexicon: dict[str, list[str]] = LEXICON) -> dict[str, Column]:
     """Per intent, how many of its keywords occur in the text."""
     lowered = F.lower(F.coalesce(col, F.lit("")))
-    hits = {}
-    for intent, keywords in lexicon.items():
-        total = F.lit(0)
-        for keyword in keywords:
-            total = total + F.contains(lowered, F.lit(keyword)).cast("int")
-        hits[intent] = total
-    return hits
+    return {intent: _hits(lowered, keywords) for intent, keywords in lexicon.items()}
 
 
 def heuristic_label(
@@ -27,17 +28,24 @@ def heuristic_label(
     """Intent with most keyword hits. Ties go to the earlier intent, no hit
     gives the fallback, and any keyword of the override intent decides alone.
 
-    Count and position are packed into one integer, so that the maximum is
-    computed once and the expression stays inside generated code."""
+    Hits and position are packed into one integer, and a hit of the override
+    intent outweighs any number of other hits, so every keyword is looked up
+    once. The text is bound to a lambda variable: a filter on the label may be
+    pushed down to where the text is computed, and without the binding that
+    computation would be repeated for every keyword."""
     names = list(lexicon)
     base = len(names) + 1
-    packed = [hits * base + (base - 2 - i) for i, hits in enumerate(lexicon_hits(col, lexicon).values())]
-    best = F.greatest(*packed, F.lit(base - 1))
     by_code = F.array(*[F.lit(name) for name in reversed(names)], F.lit(FALLBACK_INTENT))
-    label = F.element_at(by_code, (F.pmod(best, F.lit(base)) + 1).cast("int"))
-    if override is None:
-        return label
-    return F.when(has_any(col, lexicon[override]), F.lit(override)).otherwise(label)
+
+    def label(lowered: Column) -> Column:
+        packed = [
+            _hits(lowered, keywords) * (base * 1_000 if intent == override else base) + (base - 2 - i)
+            for i, (intent, keywords) in enumerate(lexicon.items())
+        ]
+        best = F.greatest(*packed, F.lit(base - 1))
+        return F.element_at(by_code, (F.pmod(best, F.lit(base)) + 1).cast("int"))
+
+    return F.element_at(F.transform(F.array(F.lower(F.coalesce(col, F.lit("")))), label), 1)
 
 
 def scaffold_labels(text: Column, thread_len: Column) -> dict[str, Column]:

@@ -39,10 +39,7 @@ def has_any(col: Column, parts: list[str]) -> Column:
 
 
 def has_any_lowered(lowered: Column, parts: list[str]) -> Column:
-    test = F.lit(False)
-    for part in parts:
-        test = test | F.contains(lowered, F.lit(part))
-    return test
+    return lowered.rlike("|".join(rf"\Q{part}\E" for part in parts))
 
 
 def tokenize_ws(col: Column) -> Column:
@@ -63,13 +60,11 @@ def word_ngrams(tokens: Column, low: int = 1, high: int = 2) -> Column:
     """N-grams of an already filtered token array, joined by one blank."""
     grams = []
     for n in range(low, high + 1):
-        if n == 1:
-            grams.append(tokens)
-            continue
-        starts = F.when(
-            F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        grams.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens, i, n), " ")))
+        count = F.greatest(F.size(tokens) - F.lit(n - 1), F.lit(0))
+        gram = F.slice(tokens, 1, count)
+        for start in range(2, n + 1):
+            gram = F.zip_with(gram, F.slice(tokens, start, count), lambda a, b: F.concat(a, F.lit(" "), b))
+        grams.append(gram if n > 1 else tokens)
     return F.concat(*grams) if len(grams) > 1 else grams[0]
 
 

@@ -25,7 +25,7 @@ def md5_key(seed: int | str, *keys: Column) -> Column:
 def time_key(timestamp: Column, tie: Column) -> Column:
     """Order by time with missing times last; equal times in the order of the
     hashed tie column."""
-    micros = F.lpad(F.hex(F.unix_micros(timestamp) + F.lit(1 << 62)), 16, "0")
+    micros = F.lpad(F.hex(F.unix_micros(timestamp.cast("timestamp")) + F.lit(1 << 62)), 16, "0")
     return F.concat(F.coalesce(micros, F.lit("f" * 16)), F.md5(tie.cast("string")))
 
 
