@@ -11,16 +11,23 @@ MAX_GRAMS = 2_000  # kept per language
 MAX_LANGUAGES = 200
 
 
+def normalized(col: Column) -> Column:
+    """Lower-cased letters, every other run being one blank, blanks around."""
+    letters = F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), r"[^\p{L}]+", " ")
+    return F.concat(F.lit(" "), F.trim(letters), F.lit(" "))
+
+
 def trigrams(col: Column) -> Column:
-    """Trigrams of the lower-cased text, every non-letter run being one blank."""
-    text = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), r"[^\p{L}]+", " ")), F.lit(" "))
-    starts = F.when(F.length(text) >= 3, F.sequence(F.lit(1), F.length(text) - 2)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substr(text, i, F.lit(3)))
+    """All trigrams of a text, in time linear in its length: matches that do not
+    overlap, taken from the first, second and third character on."""
+    parts = [F.regexp_extract_all(F.substring(col, start, 2**31 - 1), F.lit("(?s).{3}"), F.lit(0)) for start in (1, 2, 3)]
+    return F.concat(*parts)
 
 
 def _gram_counts(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    cleaned = docs.select(*keys, F.explode(trigrams(F.col(text))).alias("gram"))
-    return cleaned.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("n"))
+    cleaned = docs.select(*keys, normalized(F.col(text)).alias("_text"))
+    grams = cleaned.select(*keys, F.explode(trigrams(F.col("_text"))).alias("gram"))
+    return grams.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang", max_grams: int = MAX_GRAMS) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("text", "tables")
+MODULES = ("text", "tables", "measures", "search")
 
 
 def all_entries() -> dict:
