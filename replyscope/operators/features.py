@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from replyscope.constants import STOP_WORDS
 from replyscope.functions.text import tokenize_word, word_ngrams
+from replyscope.session import spread_by
 
 BROADCAST_TERMS = 100_000  # vocabularies up to this size are broadcast
 
@@ -17,7 +18,7 @@ def term_counts(docs: DataFrame, key: str, text: str, ngram: tuple[int, int], st
     copies = F.col("copies") if "copies" in docs.columns else F.lit(1).cast("long")
     tokens = docs.select(F.col(key), copies.alias("copies"), tokenize_word(F.col(text), stop_words).alias("_tokens"))
     return (
-        tokens.repartition(F.col(key))
+        spread_by(tokens, key)
         .select(key, "copies", F.explode(word_ngrams(F.col("_tokens"), *ngram)).alias("term"))
         .groupBy(key, "copies", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
@@ -31,18 +32,15 @@ def vocabulary(counts: DataFrame, max_features: int | None) -> DataFrame:
 
 
 def term_vocab(docs: DataFrame, text: str, max_features: int | None, ngram=(1, 1), stop_words=STOP_WORDS) -> DataFrame:
-    """Vocabulary of a corpus; needs no per-document counts."""
+    """Vocabulary of a corpus. A document's grams are counted before they leave
+    its row: every distinct gram with its number of repetitions."""
     copies = F.col("copies") if "copies" in docs.columns else F.lit(1).cast("long")
     tokens = docs.select(copies.alias("copies"), tokenize_word(F.col(text), stop_words).alias("_tokens"))
-    grams = tokens.select("copies", word_ngrams(F.col("_tokens"), *ngram).alias("_grams"))
-    # Every distinct gram of a document is counted once with its repetitions.
-    distinct = grams.select("copies", "_grams", F.explode(F.array_distinct("_grams")).alias("term")).select(
-        "copies", "term", F.lit(1).alias("one")
+    grams = tokens.withColumn("_row", F.monotonically_increasing_id()).select(
+        "_row", "copies", F.explode(word_ngrams(F.col("_tokens"), *ngram)).alias("term")
     )
-    totals = grams.select("copies", F.explode("_grams").alias("term")).groupBy("term").agg(F.sum("copies").alias("cf"))
-    df = distinct.groupBy("term").agg(F.sum("copies").alias("df"))
-    terms = totals.join(df, "term").select("term", "df", "cf")
-    return terms if max_features is None else terms.orderBy(F.desc("cf"), "term").limit(max_features)
+    counts = grams.groupBy("_row", "copies", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return vocabulary(counts, max_features)
 
 
 def with_idf(vocab: DataFrame, n_docs: int) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from replyscope.constants import STOCK_REPLIES, STOP_WORDS
 from replyscope.functions.text import tokenize_word, tokenize_ws, word_ngrams
 from replyscope.operators.ordering import top_per_group
-from replyscope.session import cut_lineage
+from replyscope.session import cut_lineage, spread_by
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 MEMBERS_PER_TEXT = 100
@@ -76,7 +76,7 @@ def index_build(
 
     grams = F.concat(tagged("b", F.col("_b")), tagged("c", word_ngrams(F.col("_c"), *ngram)))
     counts = cut_lineage(
-        tokens.repartition(F.col("text_key"))
+        spread_by(tokens, "text_key")
         .select("text_key", "copies", "length", F.inline(grams))
         .groupBy("text_key", "copies", "length", "kind", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
@@ -114,6 +114,8 @@ def index_build(
         .select("kind", "term", "df", "n_texts", "idf", F.lit(1.0).alias("max_weight"))
     )
     b_postings = counts.filter("kind = 'b'").select("kind", "term", "text_key", bm25_weight.alias("weight"))
+    terms = cut_lineage(b_terms.unionByName(c_terms))
+    c_terms = terms.filter("kind = 'c'")
     c_counts = counts.filter("kind = 'c'").join(F.broadcast(c_terms.select("term", "idf")), "term")
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("text_key")))
@@ -124,8 +126,9 @@ def index_build(
         F.lit(float(average_length)).alias("average_length"),
         F.lit(float(floor)).alias("floor"),
     )
+    postings = cut_lineage(b_postings.unionByName(c_postings))
     return Index(
-        texts, members, b_postings.unionByName(c_postings), b_terms.unionByName(c_terms), stats,
+        texts, members, postings, terms, stats,
         n_docs, n_texts, float(average_length), float(floor),
     )
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from replyscope.constants import FALLBACK_INTENT
 from replyscope.operators.ordering import top_per_group
 
-ALL = Window.partitionBy()
 
 
 def align_predictions(golden: DataFrame, pred: DataFrame, order_col: str = "row_ord", key: str = "tweet_id") -> DataFrame:
@@ -171,7 +170,7 @@ def evaluate_all(golden: DataFrame, pred: DataFrame, order_col: str = "row_ord")
 def label_distribution(df: DataFrame, label: str = "intent", escalate: str = "escalate") -> DataFrame:
     """Rows, escalated rows and share of all rows per label."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.count_if(escalate).alias("escalated"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(ALL))
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
 def threshold_sweep(pred: DataFrame, thresholds: list[float], confidence: str = "intent_confidence") -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from replyscope.functions.text import strip_text, tokenize_word, tokenize_ws, word_ngrams
 from replyscope.operators.index import MEMBERS_PER_TEXT, WITNESSES, Index, witnesses
 from replyscope.operators.ordering import top_per_group
-from replyscope.session import cut_lineage
+from replyscope.session import cut_lineage, spread_by
 
 HOT_TEXTS = 2_000
 SALTS = 16
@@ -29,7 +29,7 @@ BROADCAST_WITNESS = 1_000_000  # characters in all witness texts
 class Scored:
     """Exact scores of the best texts per query, and statistics per query."""
 
-    best: DataFrame  # q_key, text_key, b, bm25, dense, score, rank
+    best: DataFrame  # q_key, text_key, b, bm25, dense, score
     stats: DataFrame  # q_key, low, high, texts
 
 
@@ -46,7 +46,7 @@ def query_terms(queries: DataFrame, index: Index, ngram=(1, 2)) -> DataFrame:
 
     grams = F.concat(tagged("b", F.col("_b")), tagged("c", word_ngrams(F.col("_c"), *ngram)))
     counts = (
-        tokens.repartition(F.col("q_key"))
+        spread_by(tokens, "q_key")
         .select("q_key", F.inline(grams))
         .groupBy("q_key", "kind", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
@@ -76,10 +76,12 @@ def _candidates(terms: DataFrame, index: Index, hot_texts: int) -> DataFrame:
     """Exact scores of every text that shares a rare term with the query."""
     rare, hot = terms.filter(F.col("n_texts") <= hot_texts), terms.filter(F.col("n_texts") > hot_texts)
     found = rare.join(index.postings, ["kind", "term"]).groupBy("q_key", "text_key").agg(*_sums())
-    pairs = found.select("q_key", "text_key")
+    if hot.isEmpty():
+        return found
     # (kind, term, text_key) is unique in the postings: this join cannot explode.
     rest = (
-        pairs.join(hot.select("q_key", "kind", "term", "qw"), "q_key")
+        found.select("q_key", "text_key")
+        .join(hot.select("q_key", "kind", "term", "qw"), "q_key")
         .join(index.postings, ["kind", "term", "text_key"])
         .groupBy("q_key", "text_key")
         .agg(*_sums())
@@ -99,22 +101,23 @@ def _stats(candidates: DataFrame) -> DataFrame:
     )
 
 
-def _rank(candidates: DataFrame, limits: DataFrame, alpha: float, k: int) -> DataFrame:
-    """Best k texts per query. Scores are attached and cut per (query, salt), so
+def _rank(candidates: DataFrame, limits: DataFrame, alpha: float, k: int, carried: tuple[str, ...]) -> DataFrame:
+    """Best k texts per query, with columns of the query carried along. Scores are attached and cut per (query, salt), so
     that a query with very many candidates is not ranked by one task."""
     salt = F.pmod(F.xxhash64("text_key"), F.lit(SALTS)).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     width = F.col("high") - F.col("low")
     scored = (
         candidates.withColumn("_salt", salt)
-        .join(limits.select("q_key", "low", "high", salts), ["q_key", "_salt"])
+        .join(limits.select("q_key", "low", "high", *carried, salts), ["q_key", "_salt"])
         .withColumn("bm25", F.when(width > 0, (F.col("b") - F.col("low")) / width).otherwise(F.lit(0.0)))
         .withColumn("score", alpha * F.col("bm25") + (1 - alpha) * F.col("dense"))
     )
     order = [F.desc(F.round("score", 9)), F.col("text_key")]
     first = F.row_number().over(Window.partitionBy("q_key", "_salt").orderBy(*order))
     cut = scored.withColumn("_r", first).filter(F.col("_r") <= k)
-    return top_per_group(cut.select("q_key", "text_key", "b", "bm25", "dense", "score"), ["q_key"], order, k)
+    fields = ("q_key", "text_key", "b", "bm25", "dense", "score", "low", "high", *carried)
+    return top_per_group(cut.select(*fields), ["q_key"], order, k).drop("rank")
 
 
 def _complete_limits(stats: DataFrame, index: Index) -> DataFrame:
@@ -168,24 +171,28 @@ def best_texts(queries: DataFrame, index: Index, alpha: float, k: int, hot_texts
         F.lit(not index.signed) & some_unmatched & (F.col("b_max") >= F.col("hot_b"))
     )
     known = known.filter(certain)
-    best = _rank(candidates, known, alpha, k)
-    kth = best.groupBy("q_key").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("found"))
+    best = cut_lineage(_rank(candidates, known, alpha, k, ("texts", "n_hot", "hot_b", "hot_c")))
     share = F.when(F.col("high") > 0, F.col("hot_b") / F.col("high")).otherwise(F.lit(0.0))
     ceiling = alpha * share + (1 - alpha) * F.least(F.col("hot_c"), F.lit(1.0))
-    answered = known.join(kth, "q_key", "left").filter(
-        (F.col("n_hot") == 0) | ((F.col("found") >= k) & (F.col("kth") > ceiling + 1e-8))
-    )
     columns = ["q_key", "low", "high", "texts"]
-    done_stats = cut_lineage(answered.select(*columns))
-    best = cut_lineage(best.join(done_stats.select("q_key"), "q_key", "left_semi"))
+    answered = best.groupBy(*columns, "n_hot", ceiling.alias("ceiling")).agg(
+        F.min("score").alias("kth"), F.count(F.lit(1)).alias("found")
+    )
+    stats = answered.filter(
+        (F.col("n_hot") == 0) | ((F.col("found") >= k) & (F.col("kth") > F.col("ceiling") + 1e-8))
+    ).select(*columns)
+    fields = ["q_key", "text_key", "b", "bm25", "dense", "score"]
+    best = best.select(*fields).join(stats.select("q_key"), "q_key", "left_semi")
 
-    rest = terms.join(done_stats, "q_key", "left_anti")
+    rest = terms.join(stats, "q_key", "left_anti")
     if not rest.isEmpty():
+        rest = cut_lineage(rest)
         everything = _everything(rest, index)
         limits = _complete_limits(_stats(everything), index)
-        best = best.unionByName(cut_lineage(_rank(everything, limits, alpha, k)))
-        done_stats = done_stats.unionByName(cut_lineage(limits.select(*columns)))
-    return Scored(best, done_stats)
+        others = cut_lineage(_rank(everything, limits, alpha, k, ("texts",)))
+        best = best.unionByName(others.select(*fields))
+        stats = stats.unionByName(others.select(*columns).distinct())
+    return Scored(best, stats)
 
 
 def _with_padding(docs: DataFrame, queries: DataFrame, scored: Scored, index: Index, alpha: float, k: int) -> DataFrame:
@@ -227,7 +234,7 @@ def ranked_distinct(distinct: DataFrame, index: Index, alpha: float = 0.7, k: in
         raise ValueError(f"k is limited to {MEMBERS_PER_TEXT}")
     distinct = cut_lineage(distinct.select("q_key", "q_text").filter(F.col("q_text") != ""))
     scored = best_texts(distinct, index, alpha, k, hot_texts)
-    docs = scored.best.drop("rank").join(index.members.filter(F.col("pos") <= k).drop("pos"), "text_key")
+    docs = scored.best.join(index.members.filter(F.col("pos") <= k).drop("pos"), "text_key")
     docs = docs.select("q_key", "text_key", "doc_id", "b", "bm25", "dense", "score")
     docs = _with_padding(docs, distinct, scored, index, alpha, k)
     order = [F.desc(F.round("score", 9)), F.col("doc_id"), F.col("text_key")]

@@ -10,10 +10,9 @@ from replyscope.functions.text import normalize_inbound
 from replyscope.operators import brands, metrics, ordering, sampling, splits, threads as T
 from replyscope.registry import sql as S
 from replyscope.registry.inputs import documents, messages, r6, stamp, table, threads
-from replyscope.schemas import RAW_COLUMNS, SCORES
+from replyscope.schemas import RAW_COLUMNS
 from replyscope.session import scratch_path
 from replyscope.sources import raw as R
-from pyspark.sql import types as types
 
 
 # --- sources and sinks ---------------------------------------------------------
@@ -35,7 +34,7 @@ def ensure_columns(spark, d):
     return full.select("tweet_id", "author_id", "inbound", "created_at", F.md5("text").alias("text"), "response_tweet_id", "in_response_to_tweet_id")
 
 
-JSON_SCHEMA = types.StructType.fromDDL("tweet_id STRING, inbound_text STRING, thread_len INT, inbound BOOLEAN, missing STRING")
+JSON_SCHEMA = "tweet_id STRING, inbound_text STRING, thread_len INT, inbound BOOLEAN, missing STRING"
 
 
 def _json_folder(spark, d):
@@ -248,7 +247,6 @@ def topk_per_query(spark, d):
     return cut(scored, 10, "event_type", "value").select("event_type", "doc_id", "value", F.col("rank").cast("long").alias("rank"))
 
 
-_T = "to_timestamp"
 NULL_DATES = "dated AS (SELECT *, CASE WHEN row_ord % 9 <> 4 THEN created_at END AS dated_at FROM threads)"
 LABELLED = f"lab AS (SELECT *, {S.label('inbound_text')} AS intent FROM threads)"
 

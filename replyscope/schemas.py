@@ -1,22 +1,10 @@
-"""Typed schemas of the records that enter and leave the engine."""
+"""Schemas, as DDL text, of the records that enter and leave the engine."""
 
-from pyspark.sql import types as T
-
-RETRIEVED = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("doc_id", T.StringType()),
-            T.StructField("text", T.StringType()),
-            T.StructField("score", T.DoubleType()),
-            T.StructField("bm25", T.DoubleType()),
-            T.StructField("dense", T.DoubleType()),
-            T.StructField("ce", T.DoubleType()),
-        ]
-    )
+RETRIEVED = (
+    "array<struct<doc_id: string, text: string, score: double, bm25: double, dense: double, ce: double>>"
 )
-
-SCORES = T.StructType.fromDDL(
-    "groundedness INT, helpfulness INT, brand_voice INT, safety INT, rationale STRING, evidence STRING"
+SCORES = (
+    "struct<groundedness: int, helpfulness: int, brand_voice: int, safety: int, rationale: string, evidence: string>"
 )
 
 # Raw CSV columns, all read as text and coerced afterwards.
@@ -30,33 +18,15 @@ RAW_COLUMNS = (
     "in_response_to_tweet_id",
 )
 
-GOLDEN = T.StructType.fromDDL(
+GOLDEN = (
     "tweet_id STRING, brand STRING, inbound_text STRING, prev_turn STRING, thread_len INT, "
     "brand_reply STRING, created_at STRING, intent STRING, intent_rationale STRING, "
     "intent_confidence_gold DOUBLE, escalate BOOLEAN, escalate_reason STRING, "
     "escalate_category STRING, language STRING, needs_human_review BOOLEAN, human_labelled BOOLEAN"
 )
-
-PREDICTION = T.StructType(
-    GOLDEN.fields
-    + [
-        T.StructField("intent_confidence", T.DoubleType()),
-        T.StructField("retrieved", RETRIEVED),
-        T.StructField("draft_reply", T.StringType()),
-        T.StructField("draft_model", T.StringType()),
-    ]
-)
-
-JUDGE = T.StructType(
-    [
-        T.StructField("tweet_id", T.StringType()),
-        T.StructField("intent", T.StringType()),
-        T.StructField("scores", SCORES),
-        T.StructField("draft_reply", T.StringType()),
-    ]
-)
-
-HUMAN = T.StructType.fromDDL(
+PREDICTION = f"{GOLDEN}, intent_confidence DOUBLE, retrieved {RETRIEVED}, draft_reply STRING, draft_model STRING"
+JUDGE = f"tweet_id STRING, intent STRING, scores {SCORES}, draft_reply STRING"
+HUMAN = (
     "tweet_id STRING, groundedness_human INT, helpfulness_human INT, brand_voice_human INT, "
     "safety_human INT, rater STRING"
 )

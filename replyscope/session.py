@@ -37,11 +37,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def spread_by(df: DataFrame, *columns: str) -> DataFrame:
+    """Placement by key over all shuffle partitions. Used before rows are
+    unrolled into many: a count chosen from the size before would be too small."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a reused intermediate in the shared folder, so that a lost
-    executor costs a file read and not the whole history of the plan."""
-    context = df.sparkSession.sparkContext
-    folder = shared_folder(df.sparkSession)
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Materialise a reused intermediate as a table in the shared folder, so that
+    a lost executor costs a file read and not the whole history of the plan.
+    Parquet keeps column pruning and size statistics for the joins that follow."""
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

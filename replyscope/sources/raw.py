@@ -62,7 +62,7 @@ def read_raw(
     return normalize_raw(spark.read.options(**options).schema(schema).csv(path), brand_default, order)
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines with a fixed schema; blank lines are no records."""
     return spark.read.schema(schema).json(path)
 
