@@ -4,10 +4,10 @@ Documents with the same text score the same for every query, and support
 replies repeat a lot, so the index is built over distinct texts. Statistics
 (N, df, average length) still count every document.
 
-  texts     text_key, text, copies, length
+  texts     text_key, digest, text, copies, length
   members   text_key, doc_id, pos      the first ids of every text
-  postings  kind, term, text_key, weight
-  terms     kind, term, df, n_texts, idf, max_weight
+  postings  term_key, text_key, weight
+  terms     term_key, kind, term, df, n_texts, idf, max_weight
 
 kind 'b' holds BM25 terms (whitespace tokens; weight is the length-normalised
 term frequency), kind 'c' the TF-IDF n-grams (weight is the unit vector)."""
@@ -54,16 +54,21 @@ def index_build(
     docs: DataFrame, max_features: int = 10_000, ngram: tuple[int, int] = (1, 2), stop_words=STOP_WORDS
 ) -> Index:
     """Index over documents (doc_id, text) with non-blank text."""
-    keyed = docs.select(F.md5("text").alias("_h"), "text", F.col("doc_id").cast("string").alias("doc_id"))
-    # The key starts with the first document id, so it also orders equal scores.
-    key = F.concat(F.col("first_id"), F.lit("\u0000"), F.substring("_h", 1, 16)).alias("text_key")
-    texts = cut_lineage(
-        keyed.groupBy("_h")
+    keyed = docs.select(F.md5("text").alias("digest"), "text", F.col("doc_id").cast("string").alias("doc_id"))
+    # Keys are short and ascend with the first document id of a text, which is
+    # the order of equal scores.
+    texts = (
+        keyed.groupBy("digest")
         .agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"))
-        .select(key, "text", "copies", F.size(tokenize_ws(F.col("text"))).cast("long").alias("length"))
+        .orderBy("first_id", "digest")
+        .select(
+            F.monotonically_increasing_id().alias("text_key"), "digest", "text", "copies",
+            F.size(tokenize_ws(F.col("text"))).cast("long").alias("length"),
+        )
     )
-    members = top_per_group(keyed.select("_h", "doc_id"), ["_h"], [F.col("doc_id")], MEMBERS_PER_TEXT, "pos")
-    members = members.withColumn("first_id", F.min("doc_id").over(Window.partitionBy("_h"))).select(key, "doc_id", "pos")
+    texts = cut_lineage(texts)
+    members = top_per_group(keyed.select("digest", "doc_id"), ["digest"], [F.col("doc_id")], MEMBERS_PER_TEXT, "pos")
+    members = members.join(texts.select("digest", "text_key"), "digest").select("text_key", "doc_id", "pos")
 
     tokens = texts.select(
         "text_key", "copies", "length",
@@ -97,12 +102,20 @@ def index_build(
         F.max(F.when(F.col("kind") == "b", bm25_weight)).alias("max_b"),
     )
     spread = cut_lineage(spread)
+
+    # Terms are referred to by a hash; the seed is one without collisions.
+    def term_key(seed):
+        return F.xxhash64(F.lit(seed), F.col("kind"), F.col("term")).alias("term_key")
+
+    seed = 0
+    while not spread.groupBy(term_key(seed)).count().filter("count > 1").isEmpty():
+        seed += 1
     raw_idf = F.log(F.lit(n_docs) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     b_terms = spread.filter("kind = 'b'").withColumn("raw_idf", raw_idf)
     mean_idf = b_terms.agg(F.avg("raw_idf")).first()[0] or 0.0
     floor = EPSILON * mean_idf
     b_terms = b_terms.select(
-        "kind", "term", "df", "n_texts", F.when(F.col("raw_idf") < 0, F.lit(floor)).otherwise(F.col("raw_idf")).alias("idf"),
+        term_key(seed), "kind", "term", "df", "n_texts", F.when(F.col("raw_idf") < 0, F.lit(floor)).otherwise(F.col("raw_idf")).alias("idf"),
         F.col("max_b").alias("max_weight"),
     )
     # Bounded by max_features, hence safe to broadcast.
@@ -111,15 +124,15 @@ def index_build(
         .orderBy(F.desc("cf"), "term")
         .limit(max_features)
         .withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1)
-        .select("kind", "term", "df", "n_texts", "idf", F.lit(1.0).alias("max_weight"))
+        .select(term_key(seed), "kind", "term", "df", "n_texts", "idf", F.lit(1.0).alias("max_weight"))
     )
-    b_postings = counts.filter("kind = 'b'").select("kind", "term", "text_key", bm25_weight.alias("weight"))
+    b_postings = counts.filter("kind = 'b'").select(term_key(seed), "text_key", bm25_weight.alias("weight"))
     terms = cut_lineage(b_terms.unionByName(c_terms))
     c_terms = terms.filter("kind = 'c'")
-    c_counts = counts.filter("kind = 'c'").join(F.broadcast(c_terms.select("term", "idf")), "term")
+    c_counts = counts.filter("kind = 'c'").join(F.broadcast(c_terms.select("term_key", "term", "idf")), "term")
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("text_key")))
-    c_postings = c_counts.select("kind", "term", "text_key", (raw / norm).alias("weight"))
+    c_postings = c_counts.select("term_key", "text_key", (raw / norm).alias("weight"))
     stats = docs.sparkSession.range(1).select(
         F.lit(n_docs).alias("n_docs"),
         F.lit(n_texts).alias("n_texts"),
@@ -136,8 +149,8 @@ def index_build(
 def index_save(index: Index, path: str) -> None:
     """One parquet folder per table; postings are laid out by term, so that a
     term's postings sit together and row groups can be skipped by term."""
-    index.postings.repartitionByRange("kind", "term", "text_key").sortWithinPartitions(
-        "kind", "term", "text_key"
+    index.postings.repartitionByRange("term_key", "text_key").sortWithinPartitions(
+        "term_key", "text_key"
     ).write.mode("overwrite").parquet(os.path.join(path, "postings"))
     for name in ("texts", "members", "terms", "stats"):
         getattr(index, name).write.mode("overwrite").parquet(os.path.join(path, name))

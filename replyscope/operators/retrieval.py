@@ -3,10 +3,10 @@
 Score = alpha * minmax(BM25) + (1 - alpha) * TF-IDF cosine, where min and max
 run over all documents. Unrolling every shared word would join nearly every
 query with nearly every document, because of words like 'the'. So only terms
-found in at most hot_texts texts produce candidates; their scores are then
-completed with the frequent terms. A bound shows which queries are thereby
-answered exactly, and only the others are scored against all postings. Results
-are the same for every value of hot_texts."""
+found in at most hot_texts texts produce candidates. Those that can still be
+among the best are completed with the frequent terms. A bound shows which
+queries are thereby answered exactly, and only the others are scored against
+all postings. Results are the same for every value of hot_texts."""
 
 from __future__ import annotations
 
@@ -34,7 +34,7 @@ class Scored:
 
 
 def query_terms(queries: DataFrame, index: Index, ngram=(1, 2)) -> DataFrame:
-    """(q_key, kind, term, qw, bound, n_texts) of distinct query texts.
+    """(q_key, kind, term, term_key, qw, bound, n_texts) of distinct query texts.
 
     bound is the most the term can add to one document's BM25 score."""
     tokens = queries.select(
@@ -57,7 +57,7 @@ def query_terms(queries: DataFrame, index: Index, ngram=(1, 2)) -> DataFrame:
     norm = F.sqrt(F.sum(F.when(is_c, raw * raw).otherwise(0.0)).over(Window.partitionBy("q_key")))
     qw = F.when(is_c, raw / norm).otherwise(raw)
     return known.select(
-        "q_key", "kind", "term", qw.alias("qw"), "n_texts",
+        "q_key", "kind", "term", "term_key", qw.alias("qw"), "n_texts",
         F.when(~is_c, raw * F.col("max_weight")).otherwise(0.0).alias("bound"),
     )
 
@@ -72,26 +72,47 @@ def _sums():
     ]
 
 
-def _candidates(terms: DataFrame, index: Index, hot_texts: int) -> DataFrame:
-    """Exact scores of every text that shares a rare term with the query."""
-    rare, hot = terms.filter(F.col("n_texts") <= hot_texts), terms.filter(F.col("n_texts") > hot_texts)
-    found = rare.join(index.postings, ["kind", "term"]).groupBy("q_key", "text_key").agg(*_sums())
-    if hot.isEmpty():
-        return found
-    # (kind, term, text_key) is unique in the postings: this join cannot explode.
+def _rare_sums(terms: DataFrame, index: Index, hot_texts: int) -> DataFrame:
+    """Scores by rare terms alone, for every text that shares one with a query."""
+    rare = terms.filter(F.col("n_texts") <= hot_texts)
+    return rare.join(index.postings, "term_key").groupBy("q_key", "text_key").agg(*_sums())
+
+
+def _worth_completing(partial: DataFrame, queries: DataFrame, alpha: float, k: int) -> DataFrame:
+    """Candidates that can be among the best k of their query, or have its
+    highest BM25 score, when frequent terms add at most hot_b and hot_c."""
+    peaks = queries.join(partial.groupBy("q_key").agg(F.max("b").alias("peak")), "q_key")
+    share = F.when(F.col("peak") + F.col("hot_b") > 0, F.col("b") / (F.col("peak") + F.col("hot_b"))).otherwise(F.lit(0.0))
+    at_least = partial.join(peaks, "q_key").select("q_key", "text_key", (alpha * share + (1 - alpha) * F.col("dense")).alias("least"))
+    kth = top_per_group(at_least, ["q_key"], [F.desc("least")], k).groupBy("q_key").agg(
+        F.min("least").alias("kth"), F.count(F.lit(1)).alias("found")
+    )
+    limits = peaks.join(kth, "q_key").select(
+        "q_key", "hot_b", "hot_c", "peak", F.when(F.col("found") >= k, F.col("kth")).otherwise(F.lit(-1.0)).alias("kth")
+    )
+    most_b = F.when(F.col("peak") > 0, F.least((F.col("b") + F.col("hot_b")) / F.col("peak"), F.lit(1.0))).otherwise(F.lit(1.0))
+    at_most = alpha * most_b + (1 - alpha) * F.least(F.col("dense") + F.col("hot_c"), F.lit(1.0))
+    hopeful = (at_most >= F.col("kth") - 1e-8) | (F.col("b") + F.col("hot_b") >= F.col("peak") - 1e-8)
+    return partial.join(limits, "q_key").filter(hopeful).select(*partial.columns)
+
+
+def _completed(partial: DataFrame, terms: DataFrame, index: Index, hot_texts: int) -> DataFrame:
+    """Adds the frequent terms. (term_key, text_key) is unique in the postings,
+    so the join cannot explode."""
+    hot = terms.filter(F.col("n_texts") > hot_texts)
     rest = (
-        found.select("q_key", "text_key")
-        .join(hot.select("q_key", "kind", "term", "qw"), "q_key")
-        .join(index.postings, ["kind", "term", "text_key"])
+        partial.select("q_key", "text_key")
+        .join(hot.select("q_key", "kind", "term_key", "qw"), "q_key")
+        .join(index.postings, ["term_key", "text_key"])
         .groupBy("q_key", "text_key")
         .agg(*_sums())
     )
-    both = found.unionByName(rest)
+    both = partial.unionByName(rest)
     return both.groupBy("q_key", "text_key").agg(*[F.sum(c).alias(c) for c in ("b", "dense", "b_terms")])
 
 
 def _everything(terms: DataFrame, index: Index) -> DataFrame:
-    return terms.join(index.postings, ["kind", "term"]).groupBy("q_key", "text_key").agg(*_sums())
+    return terms.join(index.postings, "term_key").groupBy("q_key", "text_key").agg(*_sums())
 
 
 def _stats(candidates: DataFrame) -> DataFrame:
@@ -152,25 +173,37 @@ def best_texts(queries: DataFrame, index: Index, alpha: float, k: int, hot_texts
     terms = cut_lineage(terms)
     hot = F.col("n_texts") > hot_texts
 
-    candidates = _candidates(terms, index, hot_texts)
     reach = terms.groupBy("q_key").agg(
         F.count_if(hot).alias("n_hot"),
         F.sum(F.when(hot, F.col("bound")).otherwise(0.0)).alias("hot_b"),
         F.sqrt(F.sum(F.when(hot & (F.col("kind") == "c"), F.col("qw") * F.col("qw")).otherwise(0.0))).alias("hot_c"),
         F.sum(F.when(F.col("kind") == "b", F.col("n_texts")).otherwise(0)).alias("reach"),
     )
-    known = _complete_limits(_stats(candidates), index).join(reach, "q_key").join(
-        _unmatched_witness(terms, index), "q_key", "left"
-    )
-    # With frequent terms left out, low and high are still certain if some text
-    # is known to be unmatched and no frequent-only text can exceed the maximum.
+    # With frequent terms left out, the lowest score is still known to be 0 if
+    # some text is known to be unmatched.
     some_unmatched = (F.col("reach") < index.n_texts) | (
         F.coalesce(F.col("met"), F.lit(0)) < min(WITNESSES, index.n_texts)
     )
-    certain = (F.col("n_hot") == 0) | (
-        F.lit(not index.signed) & some_unmatched & (F.col("b_max") >= F.col("hot_b"))
+    queries = reach.join(_unmatched_witness(terms, index), "q_key", "left").filter(
+        (F.col("n_hot") == 0) | (F.lit(not index.signed) & some_unmatched)
     )
-    known = known.filter(certain)
+    queries = queries.select("q_key", "n_hot", "hot_b", "hot_c")
+    partial = _rare_sums(terms, index, hot_texts)
+    if terms.filter(hot).isEmpty():
+        candidates, known = partial, _complete_limits(_stats(partial), index).join(queries, "q_key")
+    else:
+        queries = cut_lineage(queries)
+        partial = cut_lineage(partial)
+        candidates = cut_lineage(_completed(_worth_completing(partial, queries, alpha, k), terms, index, hot_texts))
+        highest = candidates.groupBy("q_key").agg(F.max("b").alias("best_b"))
+        rare_only = F.col("n_hot") == 0
+        # No text with frequent terms only may exceed the highest score found.
+        known = (
+            _complete_limits(_stats(partial), index).join(queries, "q_key").join(highest, "q_key")
+            .filter(rare_only | (F.col("best_b") >= F.col("hot_b")))
+            .withColumn("low", F.when(rare_only, F.col("low")).otherwise(F.lit(0.0)))
+            .withColumn("high", F.when(rare_only, F.col("high")).otherwise(F.greatest("best_b", F.lit(0.0))))
+        )
     best = cut_lineage(_rank(candidates, known, alpha, k, ("texts", "n_hot", "hot_b", "hot_c")))
     share = F.when(F.col("high") > 0, F.col("hot_b") / F.col("high")).otherwise(F.lit(0.0))
     ceiling = alpha * share + (1 - alpha) * F.least(F.col("hot_c"), F.lit(1.0))
@@ -232,7 +265,8 @@ def ranked_distinct(distinct: DataFrame, index: Index, alpha: float = 0.7, k: in
     the BM25 score before scaling, low and high its limits over all documents."""
     if k > MEMBERS_PER_TEXT:
         raise ValueError(f"k is limited to {MEMBERS_PER_TEXT}")
-    distinct = cut_lineage(distinct.select("q_key", "q_text").filter(F.col("q_text") != ""))
+    named = distinct.filter(F.col("q_text") != "").select(F.col("q_key").alias("q_name"), "q_text")
+    distinct = cut_lineage(named.withColumn("q_key", F.monotonically_increasing_id()))  # short keys
     scored = best_texts(distinct, index, alpha, k, hot_texts)
     docs = scored.best.join(index.members.filter(F.col("pos") <= k).drop("pos"), "text_key")
     docs = docs.select("q_key", "text_key", "doc_id", "b", "bm25", "dense", "score")
@@ -243,8 +277,8 @@ def ranked_distinct(distinct: DataFrame, index: Index, alpha: float = 0.7, k: in
         scored.stats.select("q_key", "low", "high"), "q_key", "left"
     )
     zero = F.lit(0.0)
-    return full.select(
-        "q_key", "rank", "doc_id", "text", "score", "bm25", "dense", "b",
+    return full.join(distinct.select("q_key", "q_name"), "q_key").select(
+        F.col("q_name").alias("q_key"), "rank", "doc_id", "text", "score", "bm25", "dense", "b",
         F.coalesce("low", zero).alias("low"), F.coalesce("high", zero).alias("high"),
     )
 

@@ -57,7 +57,8 @@ def index_load(spark, d):
     path = scratch_path(spark, "index")
     I.index_save(_thread_index(spark, d), path)
     loaded = I.index_load(spark, path)
-    return loaded.postings.join(loaded.members, "text_key").select("kind", "doc_id", "term", r6("weight").alias("weight"))
+    rows = loaded.postings.join(loaded.members, "text_key").join(loaded.terms, "term_key")
+    return rows.select("kind", "doc_id", "term", r6("weight").alias("weight"))
 
 
 # --- retrieval -----------------------------------------------------------------------
