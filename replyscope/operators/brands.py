@@ -13,8 +13,7 @@ def filter_brand(df: DataFrame, brand: str, min_rows: int | None = 500) -> DataF
     inside = df.filter(F.col("brand") == brand)
     if min_rows is None:
         return inside
-    enough = inside.limit(min_rows).count() >= min_rows
-    return inside if enough else df
+    return inside if inside.count() >= min_rows else df
 
 
 def brand_stats(df: DataFrame) -> DataFrame:
@@ -50,7 +49,7 @@ def brand_subset(raw: DataFrame, brand: str | None, n: int, seed: int = 42, key:
     )
     answered = raw.join(targets, key, "left_semi").select(*raw.columns)
     if answered.isEmpty():
-        count = outbound.limit(n).count()
+        count = outbound.count()
         others = raw.filter(~F.col("author_id").eqNullSafe(brand))
         chosen = outbound.unionByName(hash_sample_n(others, key, n - count, seed)) if count < n else outbound
         return chosen.withColumn("brand", F.lit(brand))
