@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from replyscope.session import spread_by
+
 SHORT_TEXT = 15
 DEFAULT_LANGUAGE = "en"
 MAX_GRAMS = 2_000  # kept per language
@@ -57,7 +59,8 @@ def detect_language(docs: DataFrame, profiles: DataFrame, key: str, text: str) -
         "gram", F.struct("lang", (F.col("logp") - F.col("floor")).alias("gain")).alias("g")
     )
     table = F.broadcast(gains.groupBy("gram").agg(F.collect_list("g").alias("gains")))
-    counts = _gram_counts(docs, [key], text)
+    # Placed by id before the trigrams are unrolled: all sums per text are local.
+    counts = _gram_counts(spread_by(docs.select(key, text), key), [key], text)
     scores = (
         counts.join(table, "gram")
         .select(key, "n", F.inline("gains"))
