@@ -12,6 +12,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from replyscope.session import cut_lineage
+
 STEP = 3  # hexadecimal digits per level
 LAST_BUCKET = 10_000  # rows that may be sorted in one task
 SMALL_N = 10_000  # up to here a plain ordered limit is cheaper
@@ -105,3 +107,19 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
         local = Window.partitionBy(*group, "_salt").orderBy(*order)
         df = df.withColumn(rank, F.row_number().over(local)).filter(F.col(rank) <= k).drop("_salt")
     return df.withColumn(rank, F.row_number().over(final)).filter(F.col(rank) <= k)
+
+
+def dense_positions(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """`df` with the 0-based position of every row in a total order. The rows are
+    range-partitioned and numbered inside their partition; the partitions' row
+    counts, one number each, give the offsets. No task sees more than its range."""
+    numbered = cut_lineage(df.orderBy(*order).withColumn("_mark", F.monotonically_increasing_id()))
+    part, within = F.shiftright("_mark", 33), F.col("_mark").bitwiseAND((1 << 33) - 1)
+    counts = numbered.groupBy(part.alias("p")).count().orderBy("p").collect()
+    offsets, before = [], 0
+    for row in counts:
+        offsets.append((row["p"], before))
+        before += row["count"]
+    small = df.sparkSession.createDataFrame(offsets, "_part long, _before long")
+    placed = numbered.withColumn("_part", part).join(F.broadcast(small), "_part")
+    return placed.withColumn(name, F.col("_before") + within).drop("_mark", "_part", "_before")
