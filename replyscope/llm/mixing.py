@@ -35,6 +35,8 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: float) -> np.nda
     take[lengths == 0] = 0
     rest = budget - float((take * lengths).sum())
     for i in np.lexsort((lengths, -(share - take))):  # largest remainders first
+        if rest <= LARGEST_SUM:
+            break
         if 0 < lengths[i] <= rest and take[i] < counts[i]:
             take[i] += 1
             rest -= int(lengths[i])

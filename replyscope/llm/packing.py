@@ -110,18 +110,24 @@ def nonnegative_least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def pack_histogram(counts: np.ndarray, max_tokens: int = MAX_TOKENS) -> list[tuple[tuple[int, ...], int]]:
     """(lengths, repeats) of the sequences that hold counts[length] pieces of
-    every length up to `max_tokens`."""
+    every length up to `max_tokens`: the fitted patterns and their residual, or
+    all pieces as a residual where that takes fewer sequences."""
+    plans = [_fill(counts, max_tokens, fitted) for fitted in (True, False)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def _fill(counts: np.ndarray, max_tokens: int, fitted: bool) -> list[tuple[tuple[int, ...], int]]:
     left = counts.astype(np.int64).copy()
     width = -(-max_tokens // CLASSES)
     kinds = -(-np.arange(len(left)) // width)
     top = -(-max_tokens // width)
-    target = np.bincount(kinds, weights=left, minlength=top + 1)[1:]
-    shapes = patterns(top)
+    shapes = patterns(top) if fitted else []
     matrix = np.zeros((top, len(shapes)))
     for column, shape in enumerate(shapes):
         for kind in shape:
             matrix[kind - 1, column] += 1
-    repeats = np.floor(nonnegative_least_squares(matrix, target) + 1e-6).astype(np.int64)
+    target = np.bincount(kinds, weights=left, minlength=top + 1)[1:]
+    repeats = np.floor(nonnegative_least_squares(matrix, target) + 1e-6).astype(np.int64) if fitted else []
     by_space: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
 
     def put(lengths: tuple[int, ...], times: int) -> None:
