@@ -110,46 +110,44 @@ def nonnegative_least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def pack_histogram(counts: np.ndarray, max_tokens: int = MAX_TOKENS) -> list[tuple[tuple[int, ...], int]]:
     """(lengths, repeats) of the sequences that hold counts[length] pieces of
-    every length up to `max_tokens`: the fitted patterns and their residual, or
-    all pieces as a residual where that takes fewer sequences."""
-    plans = [_fill(counts, max_tokens, fitted) for fitted in (True, False)]
-    return min(plans, key=lambda plan: sum(times for _, times in plan))
+    every length up to `max_tokens`.
 
-
-def _fill(counts: np.ndarray, max_tokens: int, fitted: bool) -> list[tuple[tuple[int, ...], int]]:
+    A pattern's classes name its pieces, the largest of each class first; its last
+    piece is the longest that still fits, so that a class need not be full."""
     left = counts.astype(np.int64).copy()
     width = -(-max_tokens // CLASSES)
     kinds = -(-np.arange(len(left)) // width)
     top = -(-max_tokens // width)
-    shapes = patterns(top) if fitted else []
+    shapes = patterns(top)
     matrix = np.zeros((top, len(shapes)))
     for column, shape in enumerate(shapes):
         for kind in shape:
             matrix[kind - 1, column] += 1
     target = np.bincount(kinds, weights=left, minlength=top + 1)[1:]
-    repeats = np.floor(nonnegative_least_squares(matrix, target) + 1e-6).astype(np.int64) if fitted else []
+    repeats = np.floor(nonnegative_least_squares(matrix, target) + 1e-6).astype(np.int64)
     by_space: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
 
     def put(lengths: tuple[int, ...], times: int) -> None:
         by_space[max_tokens - sum(lengths)].append((lengths, times))
 
-    longest = {kind: [n for n in np.flatnonzero(kinds == kind)[::-1]] for kind in range(1, top + 1)}
     for shape, times in zip(shapes, repeats):
         while times > 0:
-            lengths: list[int] = []
             need: dict[int, int] = defaultdict(int)
-            for kind in shape:
-                length = next((n for n in longest[kind] if left[n] > need.get(n, 0)), None)
-                if length is None:
+            space = max_tokens
+            for part, kind in enumerate(shape):
+                upper = space if part == len(shape) - 1 else min(space, kind * width)
+                length = next((n for n in range(upper, (kind - 1) * width, -1) if left[n] > need[n]), 0)
+                if not length:
                     break
                 need[length] += 1
-                lengths.append(int(length))
-            if len(lengths) < len(shape):
-                break  # rounding left too few pieces of a class: they go to the residual
+                space -= length
+            if not length:
+                break  # too few pieces of a class are left: they go to the residual
+            need = {n: k for n, k in need.items() if k}
             take = min(times, *(int(left[n]) // k for n, k in need.items()))
             for n, k in need.items():
                 left[n] -= take * k
-            put(tuple(lengths), int(take))
+            put(tuple(n for n, k in need.items() for _ in range(k)), take)
             times -= take
     for length in range(max_tokens, 0, -1):
         n = int(left[length])
