@@ -42,10 +42,11 @@ def unit_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     x = F.col(vector).cast("array<double>")
     fine = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     rows = vectors.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), x.alias("x"), fine.alias("fine")).filter("fine")
-    largest = F.array_max(F.transform("x", F.abs))
+    largest = F.nullif(F.array_max(F.transform("x", F.abs)), F.lit(0.0))
     rows = rows.withColumn("x", F.transform("x", lambda c: c / largest))  # no overflow of squares
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c))
-    return rows.filter(norm > 0).select("id", F.transform("x", lambda c: c / norm).alias("v"))
+    rows = rows.withColumn("norm", F.nullif(norm, F.lit(0.0))).filter("norm IS NOT NULL")
+    return rows.select("id", F.transform("x", lambda c: c / F.col("norm")).alias("v"))
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -124,8 +125,8 @@ def descend(vectors: DataFrame, threshold: float, graph: DataFrame | None, round
     graph = stored(_merge(graph, start, lists), "graph")
     for _ in range(ROUNDS):
         full = F.size("near") >= F.col("k")
-        saturated = full & (F.element_at("near", -1)["d"] <= -threshold) & (F.col("k") < LONGEST)
-        kth = F.when(full & ~saturated, -F.element_at("near", -1)["d"]).otherwise(F.lit(-2.0))
+        saturated = full & (F.try_element_at("near", F.lit(-1))["d"] <= -threshold) & (F.col("k") < LONGEST)
+        kth = F.when(full & ~saturated, -F.try_element_at("near", F.lit(-1))["d"]).otherwise(F.lit(-2.0))
         limits = graph.select("id", F.when(saturated, F.col("k") * 2).otherwise(F.col("k")).alias("k"), kth.alias("floor"))
         limits = stored(limits.join(vectors, "id"), "limits")
         # the members that a node brings together: itself, its neighbours, and some whose neighbour it is
