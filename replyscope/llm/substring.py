@@ -26,7 +26,7 @@ from replyscope.llm.common import as_bytes, map_batches, mix, signed, split_word
 
 WINDOW = 50
 PREFIX = 10  # words that a group is named by
-GROUP = 400  # different spans of one group that one task takes
+GROUP = 3_000  # different spans of one group that one tree takes: at most 50 MB of suffixes
 _ODD = 0xD6E8FEB86659FD93
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 
@@ -131,7 +131,7 @@ def _small_groups(rows: DataFrame, window: int, group: int) -> DataFrame:
         held: list[tuple] = []
         for part in parts:
             held += zip(*(part[c] for c in names))
-            if len(held) >= 2 * group:
+            if len(held) >= group:
                 last = next((i for i in range(len(held) - 1, 0, -1) if held[i][0] != held[i - 1][0]), 0)
                 if last:
                     yield tree(held[:last])
