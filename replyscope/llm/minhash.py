@@ -8,14 +8,15 @@ fixed random order (optimal densification, Shrivastava 2017), so that small sets
 have full bands too: two sets of Jaccard similarity s share a band with
 probability 1 - (1 - s^4)^32, which leaves out 5 in 10^8 pairs at s = 0.8.
 
-Documents with equal sets are one class from the start. Candidates come in two
-steps. First every class is compared with the smallest class of each of its bands:
-that is linear in any group of copies, and joins almost all of them. Then only
-bands that still hold several components are searched completely, pair by pair
-over blocks of registers, for pairs between different components. Both steps keep
-pairs whose estimated similarity, corrected for accidental register equality, is
-not six standard errors below the threshold; what remains is confirmed on the full
-shingle sets. No band, group or number of partners is capped."""
+Documents with equal sets are one class from the start. Bands are then used in four
+rounds of eight: every class is compared with one random class of each of its bands,
+the most similar of them is confirmed on the full shingle sets, and components grow.
+That is linear in any group of copies, and joins almost all of a group. At last the
+bands that still hold several components are searched completely, pair by pair over
+blocks of registers, for pairs between different components; a pair is reported by
+the first band it shares. Pairs are confirmed unless the estimated similarity,
+corrected for accidental register equality, is five standard errors below the
+threshold. No band, group or number of partners is capped."""
 
 from __future__ import annotations
 
@@ -34,6 +35,8 @@ BANDS = 32
 MANTISSA = 10
 HASH_BITS = 57  # of a shingle's hash, below the seven that choose the bucket
 BLOCK = 1_000  # classes of one band that are compared in one task
+ROUNDS = 4  # of linear comparisons, each with its share of the bands
+BROADCAST_ROWS = 500_000  # pairs or ids, 16 bytes each, that are sent to every task
 _BORROW = np.stack([np.random.default_rng(i).permutation(BUCKETS) for i in range(BUCKETS)])
 
 
@@ -97,7 +100,7 @@ def estimate(equal: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
 
 def floor_of(percent: int) -> float:
     s = percent / 100
-    return s - 6 * np.sqrt(s * (1 - s) / BUCKETS)
+    return s - 5 * np.sqrt(s * (1 - s) / BUCKETS)
 
 
 def sketches(docs: DataFrame, shingle: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -151,19 +154,37 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int, percent: int,
     """Confirmed links (a, b) between class representatives that connect all
     representatives which links connect."""
     bands = stored(_bands(classes), "bands")
-    shared = stored(bands.groupBy("band", "value").agg(F.min("rep").alias("low"), F.count("rep").alias("n")).filter("n > 1"), "shared")
+    shared = stored(bands.groupBy("band", "value").agg(F.count("rep").alias("n")).filter("n > 1").drop("n"), "shared")
     members = stored(bands.join(shared, ["band", "value"]), "members")
-    star = members.filter("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
-    light = classes.select("rep", "n_shingles", "registers")
-    first = stored(_confirmed(_similar(star, light, percent), docs, shingle, percent, key, text), "links")
-    comp = components(first).withColumnRenamed("node", "rep")
-    placed = members.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    candidates = stored(members.select("rep").distinct(), "candidates")
+    light = stored(classes.select("rep", "n_shingles", "registers").join(_sent(candidates), "rep"), "light")
+    sets = stored(_shingle_sets(docs, candidates, shingle, key, text), "sets")
+    links, comp = None, light.select("rep", F.col("rep").alias("component"))
+    for round_ in range(ROUNDS):
+        placed = members.filter(F.col("band") % ROUNDS == round_).join(_sent(comp), "rep")
+        order = F.xxhash64("rep", "band", "value")
+        centre = placed.groupBy("band", "value").agg(
+            F.min_by("rep", order).alias("a"), F.min_by("component", order).alias("c"), F.min("component").alias("c1"), F.max("component").alias("c2")
+        )
+        centre = stored(centre.filter("c1 <> c2").select("band", "value", "a", "c"), "centres")
+        star = placed.join(centre, ["band", "value"]).filter("component <> c").select("a", F.col("rep").alias("b")).distinct()
+        near = _similar(star, light, percent).groupBy("b").agg(F.max_by("a", "similarity").alias("a"))
+        found = _confirmed(near.select("a", "b"), sets, percent)
+        links = stored(found if links is None else links.unionByName(found), "links")
+        known = components(links).withColumnRenamed("node", "rep")
+        comp = light.select("rep").join(_sent(stored(known, "known")), "rep", "left")
+        comp = stored(comp.select("rep", F.coalesce("component", "rep").alias("component")), "comp")
+    placed = members.join(_sent(comp), "rep")
     mixed = placed.groupBy("band", "value").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("rep").alias("n"))
     mixed = stored(mixed.filter("c1 <> c2").select("band", "value", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "mixed")
-    open_members = stored(placed.select("band", "value", "rep", "component").join(mixed, ["band", "value"]), "open")
-    rest = _pairs_of_blocks(open_members.join(light, "rep"), percent).distinct()
-    second = _confirmed(rest, docs, shingle, percent, key, text)
-    return stored(first.unionByName(second), "links")
+    open_members = stored(placed.join(mixed, ["band", "value"]), "open")
+    rest = _pairs_of_blocks(open_members.join(_sent(light), "rep"), percent)
+    return stored(links.unionByName(_confirmed(rest, sets, percent)), "links")
+
+
+def _sent(table: DataFrame) -> DataFrame:
+    """The stored table, sent to every task if it is counted to be small."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS // (1 + 16 * ("registers" in table.columns)) else table
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -177,7 +198,7 @@ def _bands(classes: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose estimate does not exclude the threshold."""
+    """(a, b, similarity) of the pairs whose estimate does not exclude the threshold."""
     floor = floor_of(percent)
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
@@ -186,29 +207,33 @@ def _similar(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
                 continue
             ra = np.frombuffer(b"".join(part["ra"]), np.uint16).reshape(-1, BUCKETS)
             rb = np.frombuffer(b"".join(part["rb"]), np.uint16).reshape(-1, BUCKETS)
-            keep = estimate((ra == rb).sum(axis=1), np.array(part["na"]), np.array(part["nb"])) >= floor
-            yield {c: np.array(part[c], np.int64)[keep] for c in ("a", "b")}
+            similarity = estimate((ra == rb).sum(axis=1), np.array(part["na"]), np.array(part["nb"]))
+            keep = similarity >= floor
+            yield {c: np.array(part[c], np.int64)[keep] for c in ("a", "b")} | {"similarity": similarity[keep]}
 
     a = light.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("registers").alias("ra"))
     b = light.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("registers").alias("rb"))
     sized = pairs.join(a, "a").join(b, "b").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    return map_batches(sized.select("a", "b", "na", "nb", "ra", "rb"), run, "a long, b long")
+    return map_batches(sized.select("a", "b", "na", "nb", "ra", "rb"), run, "a long, b long, similarity double")
 
 
 def _pairs_of_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Similar pairs (a, b) of different components within one band. The members
-    of a band are dealt over a grid of blocks, so a task sees two blocks at most."""
+    """Similar pairs (a, b) of different components within one band that share no
+    earlier band. The members of a band are dealt over a grid of blocks, so a task
+    sees two blocks at most."""
     floor = floor_of(percent)
 
     def compare(table: pa.Table) -> pa.Table:
         rep, comp, n = (table[c].to_numpy() for c in ("rep", "component", "n_shingles"))
         left, row, column = table["left"].to_numpy(zero_copy_only=False), table["row"][0].as_py(), table["col"][0].as_py()
         reg = np.frombuffer(b"".join(table["registers"].to_pylist()), np.uint16).reshape(-1, BUCKETS)
+        earlier = reg.view(np.uint64)[:, : table["band"][0].as_py()]
         found = []
         right = np.flatnonzero(~left) if row != column else np.arange(len(rep))
         for i in np.flatnonzero(left):
             other = right if row != column else right[right > i]
             other = other[comp[other] != comp[i]]
+            other = other[(earlier[other] != earlier[i]).all(axis=1)]
             other = other[100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i])]
             equal = (reg[other] == reg[i]).sum(axis=1)
             other = other[estimate(equal, np.full(len(other), n[i]), n[other]) >= floor]
@@ -226,18 +251,24 @@ def _pairs_of_blocks(members: DataFrame, percent: int) -> DataFrame:
     return grid.groupBy("band", "value", "row", "col").applyInArrow(compare, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, key: str, text: str) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold."""
-    pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+def _shingle_sets(docs: DataFrame, candidates: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
+    """(key, shingles) of the candidate documents."""
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
         for part in parts:
             yield {"key": part["key"], "shingles": [signed(shingle_set(body, shingle)) for body in part["text"]]}
 
-    texts = docs.select(F.col(key).cast("long").alias("key"), as_bytes(text).alias("text")).join(wanted, "key", "left_semi")
-    sets = stored(map_batches(texts, run, "key long, shingles array<long>"), "sets")
-    a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
+    texts = docs.select(F.col(key).cast("long").alias("key"), as_bytes(text).alias("text"))
+    texts = texts.join(_sent(candidates.withColumnRenamed("rep", "key")), "key", "left_semi")
+    return map_batches(texts, run, "key long, shingles array<long>")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets reach the threshold. Sets that no pair
+    needs stay where they are."""
+    pairs = stored(pairs, "pairs")
+    ends = stored(pairs.select("a").distinct(), "ends")
+    a = sets.withColumnsRenamed({"key": "a", "shingles": "sa"}).join(_sent(ends), "a", "left_semi")
+    b = sets.withColumnsRenamed({"key": "b", "shingles": "sb"})
+    both = b.join(_sent(pairs), "b").join(a, "a").withColumn("common", F.size(F.array_intersect("sa", "sb")))
     return both.filter(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b").distinct()
