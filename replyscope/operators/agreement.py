@@ -1,7 +1,7 @@
 """Agreement between human and judge ratings.
 
-Ratings are small integers, so every statistic is computed from the counts of
-(human, judge) pairs per dimension: at most a few dozen rows each."""
+Every statistic is computed from the counts of (human, judge) pairs per
+dimension. Ratings on a scale of five give a few dozen rows; fractions are kept."""
 
 from __future__ import annotations
 
@@ -26,7 +26,7 @@ def pair_counts(joined: DataFrame, dims=DIMENSIONS) -> DataFrame:
     """Long counts (dim, h, j, n)."""
     pairs = F.array(
         *[
-            F.struct(F.lit(d).alias("dim"), F.col(f"{d}_human").cast("int").alias("h"), F.col(f"{d}_judge").cast("int").alias("j"))
+            F.struct(F.lit(d).alias("dim"), F.col(f"{d}_human").cast("double").alias("h"), F.col(f"{d}_judge").cast("double").alias("j"))
             for d in dims
         ]
     )

@@ -5,7 +5,8 @@ replies repeat a lot, so the index is built over distinct texts. Statistics
 (N, df, average length) still count every document.
 
   texts     text_key, digest, text, copies, length
-  members   text_key, doc_id, pos      the first ids of every text
+  members   text_key, doc_id, pos      every id of every text; pos numbers the
+                                       first ones and is null behind them
   postings  term_key, text_key, weight
   terms     term_key, kind, term, df, n_texts, idf, max_weight
 
@@ -22,11 +23,12 @@ from pyspark.sql import functions as F
 
 from replyscope.constants import STOCK_REPLIES, STOP_WORDS
 from replyscope.functions.text import tokenize_word, tokenize_ws, word_ngrams
+from replyscope.operators.features import hint_vocab
 from replyscope.operators.ordering import top_per_group
 from replyscope.session import cut_lineage, spread_by
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
-MEMBERS_PER_TEXT = 100
+NUMBERED_MEMBERS = 100  # ids of a text that have a position
 WITNESSES = 64
 TABLES = ("texts", "members", "postings", "terms", "stats")
 
@@ -67,8 +69,12 @@ def index_build(
         )
     )
     texts = cut_lineage(texts)
-    members = top_per_group(keyed.select("digest", "doc_id"), ["digest"], [F.col("doc_id")], MEMBERS_PER_TEXT, "pos")
-    members = members.join(texts.select("digest", "text_key"), "digest").select("text_key", "doc_id", "pos")
+    # Only the head of a group is sorted; the other ids of a repeated text need no order.
+    every = cut_lineage(keyed.select("digest", "doc_id").join(texts.select("digest", "text_key"), "digest").select("text_key", "doc_id"))
+    head = top_per_group(every, ["text_key"], [F.col("doc_id")], NUMBERED_MEMBERS, "pos")
+    last = head.groupBy("text_key").agg(F.max("pos").alias("n"), F.max("doc_id").alias("last")).filter(F.col("n") >= NUMBERED_MEMBERS)
+    behind = every.join(cut_lineage(last), "text_key").filter(F.col("doc_id") > F.col("last"))
+    members = head.unionByName(behind.select("text_key", "doc_id", F.lit(None).cast("int").alias("pos")))
 
     tokens = texts.select(
         "text_key", "copies", "length",
@@ -79,13 +85,16 @@ def index_build(
     def tagged(kind, terms):
         return F.transform(terms, lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term")))
 
-    grams = F.concat(tagged("b", F.col("_b")), tagged("c", word_ngrams(F.col("_c"), *ngram)))
-    counts = cut_lineage(
-        spread_by(tokens, "text_key")
-        .select("text_key", "copies", "length", F.inline(grams))
-        .groupBy("text_key", "copies", "length", "kind", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    def counted(kind, terms):
+        """(text_key, copies, length, kind, term, tf) of the terms, counted where the text is."""
+        return (
+            spread_by(tokens, "text_key")
+            .select("text_key", "copies", "length", F.inline(tagged(kind, terms)))
+            .groupBy("text_key", "copies", "length", "kind", "term")
+            .agg(F.count(F.lit(1)).alias("tf"))
+        )
+
+    b_counts, c_counts = counted("b", F.col("_b")), counted("c", word_ngrams(F.col("_c"), *ngram))
 
     n_docs, n_texts, words = texts.agg(
         F.sum("copies"), F.count(F.lit(1)), F.sum(F.col("copies") * F.col("length"))
@@ -95,44 +104,34 @@ def index_build(
 
     saturation = K1 * (1 - B + B * F.col("length") / F.lit(average_length or 1.0))
     bm25_weight = F.col("tf") * (K1 + 1) / (F.col("tf") + saturation)
-    spread = counts.groupBy("kind", "term").agg(
-        F.sum("copies").alias("df"),
-        F.count(F.lit(1)).alias("n_texts"),
-        F.sum(F.col("tf") * F.col("copies")).alias("cf"),
-        F.max(F.when(F.col("kind") == "b", bm25_weight)).alias("max_b"),
+    # The vocabulary comes first: all n-grams are counted, but only kept ones are
+    # written or moved again. A text's terms are distinct rows already.
+    spread = b_counts.groupBy("kind", "term").agg(
+        F.sum("copies").alias("df"), F.count(F.lit(1)).alias("n_texts"), F.max(bm25_weight).alias("max_weight")
     )
     spread = cut_lineage(spread)
-
-    # Terms are referred to by a hash; the seed is one without collisions.
-    def term_key(seed):
-        return F.xxhash64(F.lit(seed), F.col("kind"), F.col("term")).alias("term_key")
-
-    seed = 0
-    while not spread.groupBy(term_key(seed)).count().filter("count > 1").isEmpty():
-        seed += 1
     raw_idf = F.log(F.lit(n_docs) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
-    b_terms = spread.filter("kind = 'b'").withColumn("raw_idf", raw_idf)
+    b_terms = spread.withColumn("raw_idf", raw_idf)
     mean_idf = b_terms.agg(F.avg("raw_idf")).first()[0] or 0.0
     floor = EPSILON * mean_idf
-    b_terms = b_terms.select(
-        term_key(seed), "kind", "term", "df", "n_texts", F.when(F.col("raw_idf") < 0, F.lit(floor)).otherwise(F.col("raw_idf")).alias("idf"),
-        F.col("max_b").alias("max_weight"),
-    )
-    # Bounded by max_features, hence safe to broadcast.
+    idf = F.when(F.col("raw_idf") < 0, F.lit(floor)).otherwise(F.col("raw_idf"))
+    b_terms = b_terms.select("kind", "term", "df", "n_texts", idf.alias("idf"), "max_weight")
     c_terms = (
-        spread.filter("kind = 'c'")
+        c_counts.groupBy("kind", "term")
+        .agg(F.sum("copies").alias("df"), F.count(F.lit(1)).alias("n_texts"), F.sum(F.col("tf") * F.col("copies")).alias("cf"))
         .orderBy(F.desc("cf"), "term")
         .limit(max_features)
         .withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1)
-        .select(term_key(seed), "kind", "term", "df", "n_texts", "idf", F.lit(1.0).alias("max_weight"))
+        .select("kind", "term", "df", "n_texts", "idf", F.lit(1.0).alias("max_weight"))
     )
-    b_postings = counts.filter("kind = 'b'").select(term_key(seed), "text_key", bm25_weight.alias("weight"))
-    terms = cut_lineage(b_terms.unionByName(c_terms))
-    c_terms = terms.filter("kind = 'c'")
-    c_counts = counts.filter("kind = 'c'").join(F.broadcast(c_terms.select("term_key", "term", "idf")), "term")
+    # Kept terms are numbered: keys are short and never collide.
+    terms = cut_lineage(b_terms.unionByName(c_terms).select(F.monotonically_increasing_id().alias("term_key"), "*"))
+    b_keys = terms.filter("kind = 'b'").select("term", "term_key")
+    b_postings = b_counts.join(b_keys, "term").select("term_key", "text_key", bm25_weight.alias("weight"))
+    c_keys = hint_vocab(terms.filter("kind = 'c'").select("term", "term_key", "idf"), max_features)
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("text_key")))
-    c_postings = c_counts.select("term_key", "text_key", (raw / norm).alias("weight"))
+    c_postings = c_counts.join(c_keys, "term").select("term_key", "text_key", (raw / norm).alias("weight"))
     stats = docs.sparkSession.range(1).select(
         F.lit(n_docs).alias("n_docs"),
         F.lit(n_texts).alias("n_texts"),

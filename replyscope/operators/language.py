@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.session import spread_by
+from replyscope.session import cut_lineage, spread_by
 
 SHORT_TEXT = 15
 DEFAULT_LANGUAGE = "en"
-MAX_GRAMS = 2_000  # kept per language
-MAX_LANGUAGES = 200
+BROADCAST_GRAMS = 200_000  # trigrams that are sent to every task; more are joined by trigram
 
 
 def normalized(col: Column) -> Column:
@@ -32,33 +31,29 @@ def _gram_counts(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     return grams.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
-def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang", max_grams: int = MAX_GRAMS) -> DataFrame:
-    """(lang, gram, logp): smoothed log-probabilities of each language's most
-    frequent trigrams, with gram null for everything unseen. At most max_grams
-    rows per language."""
+def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, gram, logp): smoothed log-probabilities of each language's
+    trigrams, with gram null for everything unseen."""
     counts = _gram_counts(labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")), ["lang"], "text")
     size = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    # A language has at most a few hundred thousand distinct trigrams, already counted.
-    kept = counts.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= max_grams)
     smooth = F.col("total") + F.col("kinds") + 1
-    seen = kept.join(size, "lang").select("lang", "gram", F.log((F.col("n") + 1) / smooth).alias("logp"))
+    seen = counts.join(size, "lang").select("lang", "gram", F.log((F.col("n") + 1) / smooth).alias("logp"))
     unseen = size.select("lang", F.lit(None).cast("string").alias("gram"), F.log(F.lit(1.0) / smooth).alias("logp"))
     return seen.unionByName(unseen)
 
 
 def detect_language(docs: DataFrame, profiles: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, language). Texts of up to 15 characters, and texts without any
-    trigram known to a profile, count as the default language."""
-    if profiles.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    """(key, language), one row per key. Texts of up to 15 characters, and texts
+    without any trigram known to a profile, count as the default language. Texts
+    with the same key are taken together."""
     floor = profiles.filter("gram is null").select("lang", F.col("logp").alias("floor"))
-    # Bounded by languages times max_grams: every trigram with its gain over
-    # the unseen probability, per language.
+    # Every trigram with its gain over the unseen probability, per language.
     gains = profiles.filter("gram is not null").join(floor, "lang").select(
         "gram", F.struct("lang", (F.col("logp") - F.col("floor")).alias("gain")).alias("g")
     )
-    table = F.broadcast(gains.groupBy("gram").agg(F.collect_list("g").alias("gains")))
+    table = cut_lineage(gains.groupBy("gram").agg(F.collect_list("g").alias("gains")))
+    if table.count() <= BROADCAST_GRAMS:
+        table = F.broadcast(table)
     # Placed by id before the trigrams are unrolled: all sums per text are local.
     counts = _gram_counts(spread_by(docs.select(key, text), key), [key], text)
     scores = (
@@ -67,9 +62,9 @@ def detect_language(docs: DataFrame, profiles: DataFrame, key: str, text: str) -
         .groupBy(key, "lang")
         .agg(F.sum(F.col("n") * F.col("gain")).alias("gain"))
     )
-    length = docs.select(key, F.length(F.coalesce(F.col(text), F.lit(""))).alias("_length"))
+    length = docs.groupBy(key).agg(F.max(F.length(F.coalesce(F.col(text), F.lit("")))).alias("_length"))
     totals = counts.groupBy(key).agg(F.sum("n").alias("grams"))
-    lifted = scores.join(totals, key).join(F.broadcast(floor), "lang").withColumn(
+    lifted = scores.join(totals, key).join(floor, "lang").withColumn(
         "score", F.round(F.col("gain") + F.col("grams") * F.col("floor"), 6)
     )
     best = lifted.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("lang").alias("lang"))).alias("m"))

@@ -6,24 +6,29 @@ small table only."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyscope.constants import FALLBACK_INTENT
-from replyscope.operators.ordering import top_per_group
-
+from replyscope.operators.ordering import dense_positions, running_total, top_per_group
+from replyscope.session import cut_lineage
 
 
 def align_predictions(golden: DataFrame, pred: DataFrame, order_col: str = "row_ord", key: str = "tweet_id") -> DataFrame:
     """Inner join by id of the last row per id on each side; columns are
     gold_<name> and pred_<name>. Without ids on both sides, or without any
-    common id, rows are paired by their position order_col."""
+    common id, the i-th row of one side in the order of order_col is paired with
+    the i-th of the other, as far as the shorter side goes; `position` counts
+    from 0."""
     by_id = key in golden.columns and key in pred.columns
     if by_id and not golden.join(pred, key, "left_semi").isEmpty():
         on = key
         golden, pred = (top_per_group(d, [key], [F.desc(order_col)], 1, "_last").drop("_last") for d in (golden, pred))
     else:
-        on = order_col
+        on = "position"
+        golden, pred = (dense_positions(d, [F.col(order_col), F.md5(F.to_json(F.struct(*d.columns)))], on) for d in (golden, pred))
     sides = []
     for prefix, side in (("gold_", golden), ("pred_", pred)):
         sides.append(side.select(F.col(on), *[F.col(c).alias(prefix + c) for c in side.columns if c != on]))
@@ -74,7 +79,11 @@ def class_scores(confusion: DataFrame) -> DataFrame:
 
 
 def intent_metrics(aligned: DataFrame, truth: str = "gold_intent", pred: str = "pred_intent") -> DataFrame:
-    scores = class_scores(intent_confusion(aligned, truth, pred))
+    return _intent_metrics(intent_confusion(aligned, truth, pred))
+
+
+def _intent_metrics(confusion: DataFrame) -> DataFrame:
+    scores = class_scores(confusion)
     return scores.agg(
         _safe(F.sum("hits"), F.sum("support")).alias("accuracy"),
         F.avg("f1").alias("macro_f1"),
@@ -125,6 +134,10 @@ def escalate_metrics(aligned: DataFrame, truth: str = "gold_escalate", pred: str
     counts = aligned.agg(
         F.count_if(~t & ~p).alias("tn"), F.count_if(~t & p).alias("fp"), F.count_if(t & ~p).alias("fn"), F.count_if(t & p).alias("tp")
     )
+    return _escalate_metrics(counts)
+
+
+def _escalate_metrics(counts: DataFrame) -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     return counts.select(
         _safe(tn + tp, tn + fp + fn + tp).alias("accuracy"),
@@ -152,11 +165,29 @@ def headline(intent: DataFrame, escalate: DataFrame) -> DataFrame:
 
 
 def evaluate_all(golden: DataFrame, pred: DataFrame, order_col: str = "row_ord") -> DataFrame:
-    """One row with the nested metrics document."""
+    """One row with the nested metrics document. Labels may also be named `label`
+    and `escalate_label`: the first non-empty alternative of a row counts.
+
+    The aligned rows are grouped once, by true and predicted label and escalation,
+    with the sums of hit scores; every metric comes from that small table."""
+    golden, pred = (_named_labels(side) for side in (golden, pred))
     aligned = align_predictions(golden, pred, order_col)
-    intent = intent_metrics(aligned).select(F.struct("accuracy", "macro_f1", "weighted_f1", "n").alias("intent"))
-    escalate = escalate_metrics(aligned).select(F.struct("accuracy", "precision", "recall", "f1", "n").alias("escalate"))
-    retrieval = retrieval_proxy(aligned, "pred_retrieved").select(F.struct("avg_score", "n").alias("retrieval"))
+    hits = F.coalesce(F.col("pred_retrieved"), F.array())
+    mean = F.aggregate(hits, F.lit(0.0), lambda acc, x: acc + F.coalesce(x["score"], F.lit(0.0))) / F.nullif(F.size(hits), F.lit(0))
+    label = [F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(FALLBACK_INTENT)).alias(c) for c in ("gold_intent", "pred_intent")]
+    flag = [F.coalesce(F.col(c), F.lit(False)).alias(c) for c in ("gold_escalate", "pred_escalate")]
+    cells = aligned.groupBy(*label, *flag).agg(F.count(F.lit(1)).alias("n"), F.sum(mean).alias("scores"), F.count(mean).alias("scored"))
+    cells = cut_lineage(cells)
+    n = F.col("n")
+    confusion = cells.groupBy(F.col("gold_intent").alias("truth"), F.col("pred_intent").alias("pred")).agg(F.sum("n").alias("n"))
+    intent = _intent_metrics(confusion).select(F.struct("accuracy", "macro_f1", "weighted_f1", "n").alias("intent"))
+    t, p = F.col("gold_escalate"), F.col("pred_escalate")
+    total = lambda test: F.coalesce(F.sum(F.when(test, n)), F.lit(0))
+    counts = cells.agg(total(~t & ~p).alias("tn"), total(~t & p).alias("fp"), total(t & ~p).alias("fn"), total(t & p).alias("tp"))
+    escalate = _escalate_metrics(counts).select(F.struct("accuracy", "precision", "recall", "f1", "n").alias("escalate"))
+    scored = F.sum("scored")
+    retrieval = cells.agg(_safe(F.sum("scores"), scored).alias("avg_score"), F.coalesce(scored, F.lit(0)).alias("n"))
+    retrieval = retrieval.select(F.struct(F.coalesce("avg_score", F.lit(0.0)).alias("avg_score"), "n").alias("retrieval"))
     one = F.lit(1)
     document = (
         intent.withColumn("_one", one)
@@ -167,6 +198,16 @@ def evaluate_all(golden: DataFrame, pred: DataFrame, order_col: str = "row_ord")
     return document.withColumn("headline", (F.col("intent.macro_f1") + F.col("escalate.f1")) / 2)
 
 
+def _named_labels(side: DataFrame) -> DataFrame:
+    for name, other in (("intent", "label"), ("escalate", "escalate_label")):
+        if other in side.columns:
+            own = F.col(name) if name in side.columns else F.lit(None)
+            empty = F.nullif(own.cast("string"), F.lit(""))
+            value = F.coalesce(empty, F.col(other).cast("string"))
+            side = side.withColumn(name, value if name == "intent" else value.try_cast("boolean"))
+    return side
+
+
 def label_distribution(df: DataFrame, label: str = "intent", escalate: str = "escalate") -> DataFrame:
     """Rows, escalated rows and share of all rows per label."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.count_if(escalate).alias("escalated"))
@@ -188,47 +229,33 @@ def threshold_sweep(pred: DataFrame, thresholds: list[float], confidence: str =
 
 
 def escalate_auroc(aligned: DataFrame, score: str, truth: str = "gold_escalate") -> DataFrame:
-    """Area under the ROC curve by rank sums over distinct score values.
-
-    Scores are probabilities, rounded to six places: a million distinct values
-    at most, ordered in 1,024 ranges of about a thousand values each."""
-    s = F.round(F.col(score).cast("double"), 6)
-    counts = aligned.groupBy(s.alias("s")).agg(
-        F.count_if(F.col(truth)).alias("pos"), F.count_if(~F.coalesce(F.col(truth), F.lit(False))).alias("neg")
-    )
-    ranged = counts.withColumn("r", F.floor(F.greatest(F.least(F.col("s"), F.lit(1.0)), F.lit(0.0)) * 1023))
-    per_range = ranged.groupBy("r").agg(F.sum("neg").alias("range_neg"))
-    before = per_range.withColumn("before", F.sum("range_neg").over(Window.orderBy("r")) - F.col("range_neg"))
-    inner = Window.partitionBy("r").orderBy("s")
-    joined = ranged.withColumn("below", F.sum("neg").over(inner) - F.col("neg")).join(F.broadcast(before), "r")
-    wins = F.sum(F.col("pos") * (F.col("before") + F.col("below") + F.col("neg") / 2))
-    return joined.agg(
+    """Area under the ROC curve by rank sums over distinct score values. Rows
+    without a score cannot be ranked and are left out; n counts the others."""
+    s, positive = F.col(score).cast("double"), F.coalesce(F.col(truth), F.lit(False))
+    counts = aligned.filter(s.isNotNull()).groupBy(s.alias("s")).agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
+    ranked = running_total(counts, [F.col("s")], "neg", "upto")
+    wins = F.sum(F.col("pos") * (F.col("upto") - F.col("neg") / 2))
+    return ranked.agg(
         (wins / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("auroc"), F.sum(F.col("pos") + F.col("neg")).alias("n")
     )
 
 
-def bootstrap_ci(aligned: DataFrame, resamples: int, seed: int, key: str = "tweet_id") -> DataFrame:
+def bootstrap_ci(aligned: DataFrame, resamples: int = 2_000, seed: int = 11) -> DataFrame:
     """Interval of macro-F1 over bootstrap resamples.
 
-    Every row gets a Poisson(1) weight per resample from a hash, so resamples
-    need no coordination; rows first shrink to weighted confusion counts."""
-    uniform = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("b").cast("string"), F.lit(":"), F.col(key))), 1, 8), 16, 10).cast("double") + 0.5) / 4294967296.0
-    # Cumulative Poisson(1) probabilities 0.3679, 0.7358, ... turned into a count.
-    steps, term, total = [], 0.36787944117144233, 0.0
-    for k in range(1, 10):
-        total += term
-        steps.append(total)
-        term /= k
-    weight = sum(((F.col("u") > s).cast("int") for s in steps), F.lit(0))
-    labels = [F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(FALLBACK_INTENT)).alias(a) for c, a in (("gold_intent", "truth"), ("pred_intent", "pred"))]
-    drawn = (
-        aligned.select(key, *labels)
-        .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))))
-        .withColumn("u", uniform)
-        .groupBy("b", "truth", "pred")
-        .agg(F.sum(weight).alias("n"))
-        .filter("n > 0")
-    )
+    A row's weight in a resample is Poisson(1), so the weight of a confusion cell
+    of n rows is Poisson(n): one draw per resample and cell, seeded by both."""
+    cells = intent_confusion(aligned)
+    named = cells.withColumn("cell", F.crc32(F.to_json(F.struct("truth", "pred")).cast("binary")))
+    each = named.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))))
+
+    def draw(batches):
+        for batch in batches:
+            frame = batch.to_pandas()
+            frame["n"] = [np.random.default_rng((seed, b, c)).poisson(n) for b, c, n in zip(frame["b"], frame["cell"], frame["n"])]
+            yield pa.RecordBatch.from_pandas(frame[["b", "truth", "pred", "n"]], preserve_index=False)
+
+    drawn = each.select("b", "truth", "pred", "cell", "n").mapInArrow(draw, "b int, truth string, pred string, n long").filter("n > 0")
     sides = drawn.select(
         "b",
         F.explode(

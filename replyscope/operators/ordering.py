@@ -81,7 +81,7 @@ def split_at(df: DataFrame, key: Column, n: int) -> tuple[DataFrame, DataFrame]:
     size = at_cut.count()
     if size == take:
         return df.filter(key <= value), df.filter(key > value)
-    content = F.md5(F.to_json(F.struct(*df.columns)))
+    content = _content(df)
     low, high = at_cut.agg(F.min(content), F.max(content)).first()
     if low == high:
         inside, outside = at_cut.limit(take), at_cut.limit(size - take)
@@ -90,10 +90,15 @@ def split_at(df: DataFrame, key: Column, n: int) -> tuple[DataFrame, DataFrame]:
     return df.filter(key < value).unionByName(inside), df.filter(key > value).unionByName(outside)
 
 
+def _content(df: DataFrame) -> Column:
+    """Order of rows with an equal key: rows equal in this are equal in everything."""
+    return F.md5(F.to_json(F.struct(*df.columns)))
+
+
 def first_n(df: DataFrame, key: Column, n: int) -> DataFrame:
     """The first n rows in key order; lazy for small n."""
     if n <= SMALL_N:
-        return df.orderBy(key).limit(max(n, 0))
+        return df.orderBy(F.lower(key), _content(df)).limit(max(n, 0))
     return split_at(df, key, n)[0]
 
 
@@ -110,16 +115,24 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
 
 
 def dense_positions(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """`df` with the 0-based position of every row in a total order. The rows are
-    range-partitioned and numbered inside their partition; the partitions' row
-    counts, one number each, give the offsets. No task sees more than its range."""
-    numbered = cut_lineage(df.orderBy(*order).withColumn("_mark", F.monotonically_increasing_id()))
-    part, within = F.shiftright("_mark", 33), F.col("_mark").bitwiseAND((1 << 33) - 1)
-    counts = numbered.groupBy(part.alias("p")).count().orderBy("p").collect()
+    """`df` with the 0-based position of every row in a total order."""
+    counted = running_total(df.withColumn("_one", F.lit(1).cast("long")), order, "_one", name)
+    return counted.withColumn(name, F.col(name) - 1).drop("_one")
+
+
+def running_total(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
+    """`df` with the sum of `value` over all rows up to this one in a total order.
+
+    The rows are range-partitioned and summed inside their partition; one number
+    for each partition gives the offsets. No task sees more than its range."""
+    sorted_ = cut_lineage(df.orderBy(*order).withColumn("_mark", F.monotonically_increasing_id()))
+    sorted_ = sorted_.withColumn("_part", F.shiftright("_mark", 33))
+    sums = sorted_.groupBy("_part").agg(F.sum(value).alias("s")).orderBy("_part").collect()  # one row per partition
     offsets, before = [], 0
-    for row in counts:
-        offsets.append((row["p"], before))
-        before += row["count"]
+    for row in sums:
+        offsets.append((row["_part"], before))
+        before += row["s"] or 0
     small = df.sparkSession.createDataFrame(offsets, "_part long, _before long")
-    placed = numbered.withColumn("_part", part).join(F.broadcast(small), "_part")
-    return placed.withColumn(name, F.col("_before") + within).drop("_mark", "_part", "_before")
+    inside = F.sum(value).over(Window.partitionBy("_part").orderBy("_mark"))
+    placed = sorted_.withColumn("_inside", inside).join(F.broadcast(small), "_part")
+    return placed.withColumn(name, F.col("_before") + F.col("_inside")).drop("_mark", "_part", "_before", "_inside")

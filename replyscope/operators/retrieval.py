@@ -5,22 +5,25 @@ run over all documents. Unrolling every shared word would join nearly every
 query with nearly every document, because of words like 'the'. So only terms
 found in at most hot_texts texts produce candidates. Those that can still be
 among the best are completed with the frequent terms. A bound shows which
-queries are thereby answered exactly, and only the others are scored against
-all postings. Results are the same for every value of hot_texts."""
+queries are thereby answered exactly; the others are tried again with WIDEN times
+hot_texts, so that a query reads no more frequent terms than its bound needs.
+Results are the same for every value of hot_texts."""
 
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyscope.functions.text import strip_text, tokenize_word, tokenize_ws, word_ngrams
-from replyscope.operators.index import MEMBERS_PER_TEXT, WITNESSES, Index, witnesses
+from replyscope.operators.index import NUMBERED_MEMBERS, WITNESSES, Index, witnesses
 from replyscope.operators.ordering import top_per_group
 from replyscope.session import cut_lineage, spread_by
 
 HOT_TEXTS = 2_000
+WIDEN = 16
 SALTS = 16
 BROADCAST_WITNESS = 1_000_000  # characters in all witness texts
 
@@ -111,10 +114,6 @@ def _completed(partial: DataFrame, terms: DataFrame, index: Index, hot_texts: in
     return both.groupBy("q_key", "text_key").agg(*[F.sum(c).alias(c) for c in ("b", "dense", "b_terms")])
 
 
-def _everything(terms: DataFrame, index: Index) -> DataFrame:
-    return terms.join(index.postings, "term_key").groupBy("q_key", "text_key").agg(*_sums())
-
-
 def _stats(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("q_key").agg(
         F.min("b").alias("b_min"), F.max("b").alias("b_max"), F.count(F.lit(1)).alias("texts"),
@@ -163,14 +162,26 @@ def _unmatched_witness(terms: DataFrame, index: Index) -> DataFrame:
 
 def best_texts(queries: DataFrame, index: Index, alpha: float, k: int, hot_texts: int = HOT_TEXTS) -> Scored:
     """Exact best k texts for distinct queries (q_key, q_text)."""
-    if index.signed:  # padding has to know every matched text
-        k = max(k, index.n_texts)
+    terms = cut_lineage(_weighed_terms(queries, index, alpha))
+    found = _answered(terms, index, alpha, k, hot_texts)
+    while True:
+        rest = terms.join(found.stats.select("q_key"), "q_key", "left_anti")
+        if hot_texts >= index.n_texts or rest.isEmpty():
+            return found
+        terms = cut_lineage(rest)
+        hot_texts *= WIDEN
+        more = _answered(terms, index, alpha, k, hot_texts)
+        found = Scored(found.best.unionByName(more.best), found.stats.unionByName(more.stats))
+
+
+def _weighed_terms(queries: DataFrame, index: Index, alpha: float) -> DataFrame:
     terms = query_terms(queries, index)
-    if alpha >= 1:
-        terms = terms.filter("kind = 'b'")
-    elif alpha <= 0:
-        terms = terms.filter("kind = 'c'")
-    terms = cut_lineage(terms)
+    return terms.filter("kind = 'b'") if alpha >= 1 else terms.filter("kind = 'c'") if alpha <= 0 else terms
+
+
+def _answered(terms: DataFrame, index: Index, alpha: float, k: int, hot_texts: int) -> Scored:
+    """The queries whose best k texts are proven with candidates from terms in at
+    most hot_texts texts. Without more frequent terms that is every query."""
     hot = F.col("n_texts") > hot_texts
 
     reach = terms.groupBy("q_key").agg(
@@ -215,42 +226,57 @@ def best_texts(queries: DataFrame, index: Index, alpha: float, k: int, hot_texts
         (F.col("n_hot") == 0) | ((F.col("found") >= k) & (F.col("kth") > F.col("ceiling") + 1e-8))
     ).select(*columns)
     fields = ["q_key", "text_key", "b", "bm25", "dense", "score"]
-    best = best.select(*fields).join(stats.select("q_key"), "q_key", "left_semi")
-
-    rest = terms.join(stats, "q_key", "left_anti")
-    if not rest.isEmpty():
-        rest = cut_lineage(rest)
-        everything = _everything(rest, index)
-        limits = _complete_limits(_stats(everything), index)
-        others = cut_lineage(_rank(everything, limits, alpha, k, ("texts",)))
-        best = best.unionByName(others.select(*fields))
-        stats = stats.unionByName(others.select(*columns).distinct())
-    return Scored(best, stats)
+    stats = cut_lineage(stats)
+    return Scored(best.select(*fields).join(stats.select("q_key"), "q_key", "left_semi"), stats)
 
 
 def _with_padding(docs: DataFrame, queries: DataFrame, scored: Scored, index: Index, alpha: float, k: int) -> DataFrame:
     """Documents without any shared term fill short result lists, first ids
-    first. Two times k of them are enough, since fewer than k are in use; only
-    an index with negative weights needs as many more as are matched."""
-    wanted = 2 * k
-    if index.signed:
-        wanted += scored.stats.agg(F.max("texts")).first()[0] or 0
-    first = index.members.filter(F.col("pos") <= wanted).orderBy("doc_id", "text_key").limit(wanted)
-    rows = [F.struct(F.lit(r["doc_id"]).alias("doc_id"), F.lit(r["text_key"]).alias("text_key")) for r in first.collect()]
-    if not rows:
-        return docs
+    first. With negative weights they may also rank above shared ones."""
     counts = docs.groupBy("q_key").agg(F.count(F.lit(1)).alias("have"), F.min("score").alias("least"))
     short = queries.select("q_key").join(counts, "q_key", "left").join(scored.stats, "q_key", "left")
     width = F.col("high") - F.col("low")
     pad_bm25 = F.when(width > 0, (F.lit(0.0) - F.col("low")) / width).otherwise(F.lit(0.0))
-    pads = (
-        short.withColumn("bm25", pad_bm25)
-        .filter(F.col("have").isNull() | (F.col("have") < k) | (F.col("least") <= alpha * F.col("bm25")))
-        .select("q_key", "bm25", F.inline(F.array(*rows)))
-        .select("q_key", "text_key", "doc_id", F.lit(0.0).alias("b"), "bm25", F.lit(0.0).alias("dense"), (alpha * F.col("bm25")).alias("score"))
+    short = short.withColumn("bm25", pad_bm25).filter(
+        F.col("have").isNull() | (F.col("have") < k) | (F.col("least") <= alpha * F.col("bm25"))
     )
-    matched = scored.best.select("q_key", "text_key")
-    return docs.unionByName(pads.join(matched, ["q_key", "text_key"], "left_anti"))
+    short = cut_lineage(short.select("q_key", "bm25"))
+    for pads in _unshared(short, queries, index, alpha, k):
+        docs = docs.unionByName(
+            pads.select("q_key", "text_key", "doc_id", F.lit(0.0).alias("b"), "bm25", F.lit(0.0).alias("dense"), (alpha * F.col("bm25")).alias("score"))
+        )
+    return docs
+
+
+def _unshared(short: DataFrame, queries: DataFrame, index: Index, alpha: float, k: int) -> Iterator[DataFrame]:
+    """The first k documents without a shared term for every short query. The
+    documents are looked through in growing parts from the first id on; a query
+    goes on only past those that it shares a term with, which it has scored before."""
+    if short.isEmpty():
+        return
+    terms = _weighed_terms(queries.join(short, "q_key", "left_semi"), index, alpha)
+    shared = cut_lineage(terms.join(index.postings, "term_key").select("q_key", "text_key").distinct())
+    seen, upto, total = 0, 2 * k, index.n_docs
+    found = None
+    while seen < total and not short.isEmpty():
+        first = index.members.orderBy("doc_id", "text_key").limit(upto)
+        part = first.withColumn("at", F.row_number().over(Window.orderBy("doc_id", "text_key")) - 1).filter(F.col("at") >= seen)
+        asked = short.withColumn("at", F.explode(F.sequence(F.lit(seen), F.lit(min(upto, total) - 1))))
+        free = asked.join(cut_lineage(part.select("at", "text_key", "doc_id")), "at").join(shared, ["q_key", "text_key"], "left_anti")
+        free = cut_lineage(free.drop("at"))
+        yield free
+        found = free if found is None else found.unionByName(free)
+        full = found.groupBy("q_key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
+        short = cut_lineage(short.join(full, "q_key", "left_anti"))
+        seen, upto = upto, 4 * upto
+
+
+def _first_members(index: Index, best: DataFrame, k: int) -> DataFrame:
+    """(text_key, doc_id): the first k documents of the texts found."""
+    if k <= NUMBERED_MEMBERS:
+        return index.members.filter(F.col("pos") <= k).drop("pos")
+    found = index.members.join(best.select("text_key").distinct(), "text_key", "left_semi").drop("pos")
+    return top_per_group(found, ["text_key"], [F.col("doc_id")], k).drop("rank")
 
 
 def keyed_queries(queries: DataFrame, text: str) -> DataFrame:
@@ -263,12 +289,10 @@ def ranked_distinct(distinct: DataFrame, index: Index, alpha: float = 0.7, k: in
     """(q_key, rank, doc_id, text, score, bm25, dense, b, low, high): the best k
     documents of distinct queries (q_key, q_text); an empty text has none. b is
     the BM25 score before scaling, low and high its limits over all documents."""
-    if k > MEMBERS_PER_TEXT:
-        raise ValueError(f"k is limited to {MEMBERS_PER_TEXT}")
     named = distinct.filter(F.col("q_text") != "").select(F.col("q_key").alias("q_name"), "q_text")
     distinct = cut_lineage(named.withColumn("q_key", F.monotonically_increasing_id()))  # short keys
     scored = best_texts(distinct, index, alpha, k, hot_texts)
-    docs = scored.best.join(index.members.filter(F.col("pos") <= k).drop("pos"), "text_key")
+    docs = scored.best.join(_first_members(index, scored.best, k), "text_key")
     docs = docs.select("q_key", "text_key", "doc_id", "b", "bm25", "dense", "score")
     docs = _with_padding(docs, distinct, scored, index, alpha, k)
     order = [F.desc(F.round("score", 9)), F.col("doc_id"), F.col("text_key")]

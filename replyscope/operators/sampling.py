@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyscope.constants import BUCKETS
 from replyscope.functions.text import has_any_lowered
 from replyscope.operators.ordering import first_n, md5_key, split_at, top_per_group
+from replyscope.session import cut_lineage
 
 
 def hash_sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
@@ -58,15 +58,22 @@ def stratified_sample(
 ) -> DataFrame:
     """60% uniform, the rest spread over keyword buckets, then filled up.
 
-    Ranks are decided on a narrow table (key, hashes, bucket flags) that is
-    kept for the few passes; whole rows are fetched once at the end."""
+    Ranks are decided on a narrow table (key, bucket flags) that is written for
+    the few passes; whole rows are fetched once at the end. Rows that share a key
+    are rows of their own, told apart by their content."""
+    source, given = threads, key
+    copy = F.row_number().over(Window.partitionBy(given).orderBy(F.md5(F.to_json(F.struct(*threads.columns)))))
+    threads = threads.withColumn("_copy", copy)
+    key = "_row"
+    threads = threads.withColumn(key, F.when(F.col("_copy") == 1, F.col(given).cast("string")).otherwise(F.concat_ws("#", F.col(given), "_copy"))).drop("_copy")
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
     names = list(buckets)
     matched = F.filter(
         F.array(*[F.when(has_any_lowered(lowered, buckets[b]), F.lit(i)) for i, b in enumerate(names)]),
         lambda b: b.isNotNull(),
     )
-    narrow = threads.select(F.col(key), matched.alias("_buckets")).persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = threads.select(F.col(key), matched.alias("_buckets"))
+    narrow = cut_lineage(narrow)
 
     def pick(df: DataFrame, count: int, pick_seed: int) -> DataFrame:
         return first_n(df, md5_key(pick_seed, F.col(key)), count)
@@ -95,9 +102,9 @@ def stratified_sample(
     chosen = parts[0]
     for part in parts[1:]:
         chosen = chosen.unionByName(part)
-    chosen = chosen.orderBy("_part", "_bucket", "_h").limit(n)
-    sample = threads.join(F.broadcast(chosen.select(key)) if n <= 100_000 else chosen.select(key), key, "left_semi")
-    return sample
+    place = F.concat_ws(":", F.lpad("_part", 2, "0"), F.lpad("_bucket", 8, "0"), "_h")
+    chosen = first_n(chosen, place, n).select(key)
+    return threads.join(F.broadcast(chosen) if n <= 100_000 else chosen, key, "left_semi").select(*source.columns)
 
 
 def cap_majority(

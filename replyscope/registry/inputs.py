@@ -9,7 +9,7 @@ from replyscope.functions.labels import heuristic_label
 from replyscope.operators.threads import build_threads
 from replyscope.sources.tables import messages, table
 
-__all__ = ["aligned_labels", "documents", "long_count", "messages", "r6", "stamp", "table", "threads"]
+__all__ = ["aligned_labels", "documents", "messages", "r6", "stamp", "table", "threads"]
 
 
 def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,10 +29,6 @@ def r6(col):
     return F.round(F.col(col) if isinstance(col, str) else col, 6)
 
 
-def long_count(col):
-    return (F.col(col) if isinstance(col, str) else col).cast("long")
-
-
 def aligned_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label of the message as truth, label of its reply as prediction; draft
     escalation as truth, keyword escalation as prediction."""

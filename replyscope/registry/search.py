@@ -49,7 +49,14 @@ def index_build(spark, d):
 def index_save(spark, d):
     path = scratch_path(spark, "index")
     I.index_save(_thread_index(spark, d), path)
-    return spark.read.parquet(f"{path}/stats").select("n_docs", r6("average_length").alias("average_length"))
+    read = {name: spark.read.parquet(f"{path}/{name}") for name in I.TABLES}
+    kinds = read["terms"].groupBy("kind").agg(F.count(F.lit(1)).alias("terms"), r6(F.sum("idf")).alias("idf"))
+    weights = read["postings"].join(read["terms"].select("term_key", "kind"), "term_key").join(read["texts"].select("text_key", "copies"), "text_key")
+    weights = weights.groupBy("kind").agg(F.sum("copies").alias("postings"), F.round(F.sum(F.col("weight") * F.col("copies")), 4).alias("weight"))
+    members = read["members"].agg(F.count(F.lit(1)).alias("members"), F.count_distinct("text_key").alias("texts"))
+    both = kinds.join(weights, "kind").withColumn("one", F.lit(1))
+    stats = read["stats"].select("n_docs", r6("average_length").alias("average_length"), F.lit(1).alias("one"))
+    return both.join(stats, "one").join(members.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 def index_load(spark, d):
@@ -86,6 +93,24 @@ def hybrid_ranked(spark, d):
     return _ranked(found, r6("score").alias("score"), r6("bm25").alias("bm25"), r6("dense").alias("dense"))
 
 
+def _hybrid_with(hot_texts):
+    def query(spark, d):
+        """Ranked with few rare terms, so that bounds and widening decide."""
+        found = retrieval.ranked_docs(_benchmark(spark, d), _document_index(spark, d), k=10, hot_texts=hot_texts)
+        return _ranked(found, r6("score").alias("score"), r6("bm25").alias("bm25"), r6("dense").alias("dense"))
+
+    return query
+
+
+def index_load_copies(spark, d):
+    """Every document of an index in which one text has more than a hundred copies."""
+    docs = documents(spark, d).select(F.col("doc_id").cast("string").alias("doc_id"), F.when(F.col("doc_id") % 3 == 0, "one reply for many").otherwise(F.concat(F.lit("reply "), F.col("doc_id"))).alias("text"))
+    path = scratch_path(spark, "index")
+    I.index_save(I.index_build(docs), path)
+    loaded = I.index_load(spark, path)
+    return loaded.members.join(loaded.texts.select("text_key", "text", "copies"), "text_key").select("doc_id", "text", "copies")
+
+
 def hybrid_topk(spark, d):
     hits = retrieval.hybrid_topk(_benchmark(spark, d), _document_index(spark, d))
     return hits.select(
@@ -140,7 +165,7 @@ def answer_batch(spark, d):
 # --- classifier -----------------------------------------------------------------------
 def _model(spark, d):
     t = cut_lineage(threads(spark, d))
-    return t, classifier.train_intent(classifier.weak_label_set(t), max_iter=100)
+    return t, classifier.train_intent(classifier.weak_label_set(t))
 
 
 def train_intent(spark, d):
@@ -288,7 +313,7 @@ grams AS MATERIALIZED (SELECT doc_id, lang, gram, count(*) AS n FROM (
   SELECT doc_id, lang, unnest(list_concat(list_concat(regexp_extract_all(t, '(?s).{3}'), regexp_extract_all(substr(t, 2), '(?s).{3}')), regexp_extract_all(substr(t, 3), '(?s).{3}'))) AS gram FROM norm) GROUP BY ALL),
 bylang AS MATERIALIZED (SELECT lang, gram, CAST(sum(n) AS BIGINT) AS n FROM grams GROUP BY ALL),
 sizes AS MATERIALIZED (SELECT lang, sum(n) + count(*) + 1 AS s FROM bylang GROUP BY lang),
-prof AS MATERIALIZED (SELECT lang, gram, ln((n + 1.0::DOUBLE) / s) AS logp FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS r FROM bylang) JOIN sizes USING (lang) WHERE r <= 2000
+prof AS MATERIALIZED (SELECT lang, gram, ln((n + 1.0::DOUBLE) / s) AS logp FROM (SELECT *, row_number() OVER () AS r FROM bylang) JOIN sizes USING (lang)
   UNION ALL SELECT lang, NULL, ln(1.0::DOUBLE / s) FROM sizes)"""
 DETECT = """lows AS (SELECT lang AS l, logp AS low FROM prof WHERE gram IS NULL),
 total AS (SELECT doc_id, sum(n) AS g FROM grams GROUP BY doc_id),
@@ -296,6 +321,7 @@ gain AS (SELECT g.doc_id, p.lang AS l, sum(g.n * (p.logp - low)) AS gain FROM gr
 best AS (SELECT doc_id, first(l ORDER BY round(gain + g * low, 6) DESC, l) AS l FROM gain JOIN total USING (doc_id) JOIN lows USING (l) GROUP BY doc_id),
 spoken AS (SELECT n.doc_id, CASE WHEN n.len <= 15 THEN 'en' ELSE coalesce(b.l, 'en') END AS language FROM norm n LEFT JOIN best b USING (doc_id))"""
 
+HYBRID_SQL = bench_sql("SELECT query_id, rank, doc_id, round(score, 6) AS score, round(bm25, 6) AS bm25, round(dense, 6) AS dense FROM hybrid WHERE rank <= 10")
 _ROUTED = S.route("inbound_text", "i", "0.45", "thread_len", "prev_turn")
 ENTRIES = {
     "term_vocab": (
@@ -309,12 +335,26 @@ ENTRIES = {
         S.with_threads(f"SELECT tweet_id, {S.label('inbound_text')} AS weak_intent FROM threads ORDER BY md5('42:' || tweet_id) LIMIT (SELECT count(*) // 2 FROM threads)"),
     ),
     "index_build": (index_build, thread_sql("SELECT 'b' AS kind, term, df, round(idf, 6) AS idf FROM bidf UNION ALL SELECT 'c', term, df, round(idf, 6) FROM cvoc")),
-    "index_save": (index_save, thread_sql("SELECT n AS n_docs, round(avgdl, 6) AS average_length FROM st")),
+    "index_save": (
+        index_save,
+        thread_sql(
+            "SELECT kind, terms, idf, postings, weight, (SELECT n FROM st) AS n_docs, (SELECT round(avgdl, 6) FROM st) AS average_length, (SELECT count(*) FROM docs) AS members, (SELECT count(DISTINCT text) FROM docs) AS texts FROM t JOIN p USING (kind)",
+            "t AS (SELECT 'b' AS kind, count(*) AS terms, round(sum(idf), 6) AS idf FROM bidf UNION ALL SELECT 'c', count(*), round(sum(idf), 6) FROM cvoc)",
+            "p AS (SELECT 'b' AS kind, count(*) AS postings, round(sum(w), 4) AS weight FROM bw UNION ALL SELECT 'c', count(*), round(sum(w), 4) FROM cw)",
+        ),
+    ),
     "index_load": (index_load, thread_sql("SELECT 'b' AS kind, doc_id, term, round(w, 6) AS weight FROM bw UNION ALL SELECT 'c', doc_id, term, round(w, 6) FROM cw")),
     "bm25_scores": (bm25_scores, bench_sql(top("bm25", "round(b, 6) AS bm25_raw"))),
     "minmax_per_query": (minmax_per_query, bench_sql(top("bm25", "round(low, 6) AS low, round(high, 6) AS high, round(bm25, 6) AS bm25"))),
     "tfidf_cosine": (tfidf_cosine, bench_sql(top("dense", "round(dense, 6) AS cosine"))),
-    "hybrid_ranked": (hybrid_ranked, bench_sql("SELECT query_id, rank, doc_id, round(score, 6) AS score, round(bm25, 6) AS bm25, round(dense, 6) AS dense FROM hybrid WHERE rank <= 10")),
+    "hybrid_ranked": (hybrid_ranked, HYBRID_SQL),
+    "index_load_copies": (
+        index_load_copies,
+        "WITH t AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN doc_id % 3 = 0 THEN 'one reply for many' ELSE 'reply ' || doc_id END AS text FROM documents) "
+        "SELECT doc_id, text, count(*) OVER (PARTITION BY text) AS copies FROM t",
+    ),
+    "hybrid_hot_5": (_hybrid_with(5), HYBRID_SQL),
+    "hybrid_hot_20": (_hybrid_with(20), HYBRID_SQL),
     "hybrid_topk": (hybrid_topk, bench_sql("SELECT * FROM tops", TOTALS)),
     "rerank_fuse": (
         rerank_fuse,

@@ -102,9 +102,11 @@ def align_predictions(spark, d):
 
 
 def align_by_position(spark, d):
+    """The i-th thread with the i-th message, whatever their ordinals are."""
     gold, pred = _sides(spark, d)
+    pred = pred.withColumn("row_ord", F.col("row_ord") * 10 + 3)
     aligned = metrics.align_predictions(gold.drop("tweet_id"), pred.drop("tweet_id"))
-    return aligned.select("row_ord", "gold_intent", "pred_intent")
+    return aligned.select("position", "gold_intent", "pred_intent")
 
 
 def common_ids(spark, d):
@@ -321,7 +323,11 @@ ENTRIES = {
     ),
     "align_by_position": (
         align_by_position,
-        S.with_threads(f"SELECT t.row_ord, {S.label('t.inbound_text')} AS gold_intent, {S.label('m.text_clean')} AS pred_intent FROM threads t JOIN msg m USING (row_ord)"),
+        S.with_threads(
+            "SELECT position, gold_intent, pred_intent FROM g JOIN p USING (position)",
+            f"g AS (SELECT row_number() OVER (ORDER BY row_ord) - 1 AS position, {S.label('inbound_text')} AS gold_intent FROM threads)",
+            f"p AS (SELECT row_number() OVER (ORDER BY row_ord) - 1 AS position, {S.label('text_clean')} AS pred_intent FROM msg)",
+        ),
     ),
     "common_ids": (common_ids, "SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels"),
     "exclude_existing": (exclude_existing, "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"),

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from replyscope.constants import DEFAULT_BRAND, SYNTHETIC_TEXTS
 from replyscope.functions.text import clean_text, normalize_inbound, parse_created_at
-from replyscope.schemas import RAW_COLUMNS
 
 
 def ensure_columns(df: DataFrame, columns, default="") -> DataFrame:
