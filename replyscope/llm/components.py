@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import stored
+from replyscope.llm.common import own_scratch, stored
 
 
+@own_scratch
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the undirected edges (a, b); the
     component is the smallest node reachable. Nulls and self-loops are ignored,

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import map_batches, stored
+from replyscope.llm.common import map_batches, own_scratch, stored
 from replyscope.llm.components import components
 
 THRESHOLD = 0.9
@@ -174,6 +174,7 @@ def _recall(vectors: DataFrame, comp: DataFrame, threshold: float) -> tuple[int,
     return row["n"], row["hit"]
 
 
+@own_scratch
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "vec_id", vector: str = "embedding", recall: float = RECALL) -> DataFrame:
     """(key, n_links, component_id, kept) per row of `vectors`: links are pairs of
     cosine at or above the threshold.

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import as_bytes, map_batches, mix, signed, split_words, stored, window_hashes, word_hashes
+from replyscope.llm.common import as_bytes, map_batches, mix, own_scratch, signed, split_words, stored, window_hashes, word_hashes
 from replyscope.llm.components import components
 
 BUCKETS = 128
@@ -123,6 +123,7 @@ def sketches(docs: DataFrame, shingle: int = 5, key: str = "doc_id", text: str =
     return map_batches(columns, run, "key long, n_shingles long, f1 long, f2 long, registers binary")
 
 
+@own_scratch
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """(key, n_shingles, component_id, kept) per row of `docs`: documents are
     linked if 100 * intersection >= percent * union of their shingle sets;
@@ -150,6 +151,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: s
     )
 
 
+@own_scratch
 def class_links(classes: DataFrame, docs: DataFrame, shingle: int, percent: int, key: str, text: str, block: int) -> DataFrame:
     """Confirmed links (a, b) between class representatives that connect all
     representatives which links connect."""
@@ -179,7 +181,7 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int, percent: int,
     mixed = stored(mixed.filter("c1 <> c2").select("band", "value", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "mixed")
     open_members = stored(placed.join(mixed, ["band", "value"]), "open")
     rest = _pairs_of_blocks(open_members.join(_sent(light), "rep"), percent)
-    return stored(links.unionByName(_confirmed(rest, sets, percent)), "links")
+    return links.unionByName(_confirmed(rest, sets, percent))
 
 
 def _sent(table: DataFrame) -> DataFrame:

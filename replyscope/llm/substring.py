@@ -22,7 +22,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import as_bytes, map_batches, mix, signed, split_words, stored, window_hashes, word_hashes
+from replyscope.llm.common import as_bytes, map_batches, mix, own_scratch, signed, split_words, stored, window_hashes, word_hashes
 
 WINDOW = 50
 PREFIX = 10  # words that a group is named by
@@ -79,6 +79,7 @@ def deep_nodes(group: np.ndarray, low: np.ndarray, words: list[np.ndarray], wind
     return [np.flatnonzero(flags).astype(np.int32) for flags in again]
 
 
+@own_scratch
 def repeated_windows(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
     """(doc, from, to): word ranges covered by windows of `docs` (doc, text) that
     also start in a document with a smaller id. Rows with a null id take no part."""
