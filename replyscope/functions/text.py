@@ -111,3 +111,19 @@ def parse_created_at(col: Column) -> Column:
         F.try_to_timestamp(text),
         F.try_to_timestamp(F.substring(text, 5, 100), F.lit("MMM dd HH:mm:ss Z yyyy")),
     )
+
+
+#: Fixed patterns of personal data and their replacements, in the order of use.
+PERSONAL = (
+    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
+    (r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", "[IP]"),
+    (r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}", "[CARD]"),
+    (r"\+?[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?[ -][0-9]{3,4}[ -]?[0-9]{3,4}", "[PHONE]"),
+)
+
+
+def redact_pii(col: Column) -> Column:
+    """Mail and network addresses, card and phone numbers replaced by their kind."""
+    for pattern, kind in PERSONAL:
+        col = F.regexp_replace(col, pattern, kind)
+    return col

@@ -18,6 +18,7 @@ from replyscope.operators.metrics import class_report, intent_metrics
 from replyscope.operators.sampling import exact_split, hash_sample_n
 
 GRAMS = "_grams"
+ROWS_PER_TASK = 2_500
 
 
 def weak_label_set(threads: DataFrame, n: int = 5_000, seed: int = 42, key: str = "tweet_id") -> DataFrame:
@@ -35,8 +36,9 @@ def train_intent(
 ) -> PipelineModel:
     """Fits on all rows. Class weights are n / (classes * rows of the class), so
     they sum to n and a regularisation of 1/n equals a penalty factor of one.
-    The vocabulary (at most max_features terms) and per-class counts are the
-    only data that reach the driver."""
+    Rows with a label outside the taxonomy are left out. The vocabulary (at most
+    max_features terms) and per-class counts are the only data that reach the driver."""
+    labelled = labelled.filter(F.col(label).isin(list(INTENTS)))
     index_of = F.create_map(*[F.lit(v) for i, name in enumerate(INTENTS) for v in (name, float(i))])
     grams = _with_grams(labelled.select(text, label), text).withColumn("label", index_of[F.col(label)])
     counts = {r["label"]: r["count"] for r in grams.groupBy("label").count().collect()}
@@ -56,6 +58,7 @@ def train_intent(
         family="multinomial", weightCol="weight", standardization=False, regParam=1.0 / n, maxIter=max_iter, tol=1e-5
     )
     prepared = unit.transform(shifted.transform(vectorized)).select("features", "label", "weight")
+    prepared = prepared.coalesce(-(-n // ROWS_PER_TASK))  # an iteration is short: few tasks, few messages
     try:
         model = regression.fit(prepared)
     finally:

@@ -18,6 +18,7 @@ from replyscope.operators.ordering import top_per_group
 
 QUERY_BLOCK = 2_000
 VECTOR_BLOCK = 20_000
+SLICE = 128  # queries whose scores a task holds at a time
 
 
 def _block_top(k: int):
@@ -35,16 +36,20 @@ def _block_top(k: int):
 
         right = unit(vectors["vector"])[order]
         left = unit(queries["vector"])
-        scores = np.round((left @ right.T + 1) / 2, 9)
-        # Stable sort on rows in id order: equal scores come in id order.
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat(queries["query_id"].to_numpy(), best.shape[1]),
-                "doc_id": ids[best].ravel(),
-                "dense": np.take_along_axis(scores, best, axis=1).ravel(),
-            }
-        )
+        names = queries["query_id"].to_numpy()
+        parts = []
+        for at in range(0, len(left), SLICE):
+            scores = np.round((left[at : at + SLICE] @ right.T + 1) / 2, 9)
+            last = min(k, scores.shape[1]) - 1
+            # The k-th score bounds the answer; ties with it come in id order.
+            bound = -np.partition(-scores, last, axis=1)[:, last]
+            row, col = np.nonzero(scores >= bound[:, None])
+            order = np.lexsort((col, -scores[row, col], row))
+            row, col = row[order], col[order]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            row, col = row[rank < k], col[rank < k]
+            parts.append(pd.DataFrame({"query_id": names[at + row], "doc_id": ids[col], "dense": scores[row, col]}))
+        return pd.concat(parts)
 
     return compute
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyscope import constants as C
+from replyscope.functions.judging import extract_json_scores, judge_heuristic
 from replyscope.functions.labels import heuristic_label
-from replyscope.functions.replies import template_reply
+from replyscope.functions.replies import template_reply, ungrounded_numbers
 from replyscope.functions.routing import route, route_keyword_only
 from replyscope.functions.text import build_query_text, pick_field, pick_length
+from replyscope.operators.agreement import judge_averages
 from replyscope.operators.classifier import score_intent
 from replyscope.operators.index import Index
 from replyscope.operators.retrieval import HOT_TEXTS, attach_hits, keyed_queries
@@ -22,10 +24,13 @@ RESULT = (
 
 
 def answer_batch(
-    messages: DataFrame, index: Index, model: PipelineModel | None = None, alpha: float = 0.7, k: int = 3, hot_texts: int = HOT_TEXTS
+    messages: DataFrame, index: Index, model: PipelineModel | None = None, alpha: float = 0.7, k: int = 3, hot_texts: int = HOT_TEXTS,
+    reply: str | None = None,
 ) -> DataFrame:
     """Input columns are kept, result columns are added or replaced. Retrieval
-    runs once per distinct text and is joined back on it."""
+    runs once per distinct text and is joined back on it. Where a column of
+    written replies is named, a non-empty one is the draft instead of the
+    template, and `grounded` tells that all its long numbers were retrieved."""
     have = messages.columns
     fields = messages.withColumns(
         {
@@ -39,13 +44,19 @@ def answer_batch(
     decided = attach_hits(keyed, index, alpha, k, hot_texts).withColumn(
         "_decision", route(F.col("_text"), F.col("intent"), F.col("intent_confidence"), F.col("_len"), F.col("_prev"))
     )
+    draft, source, grounded = template_reply(F.col("intent")), F.lit("heuristic"), []
+    if reply:
+        written = F.nullif(F.col(reply), F.lit(""))
+        draft, source = F.coalesce(written, draft), F.when(written.isNotNull(), F.lit("given")).otherwise(source)
+        grounded = [(~ungrounded_numbers(draft, _hit_texts())).alias("grounded")]
     return decided.select(
-        *[c for c in have if c not in RESULT],
+        *[c for c in have if c not in (*RESULT, *(["grounded"] if reply else []))],
         "intent",
         "intent_confidence",
         "retrieved",
-        template_reply(F.col("intent")).alias("draft_reply"),
-        F.lit("heuristic").alias("draft_model"),
+        draft.alias("draft_reply"),
+        source.alias("draft_model"),
+        *grounded,
         "_decision.escalate",
         "_decision.escalate_reason",
         "_decision.escalate_category",
@@ -96,3 +107,17 @@ def keyword_prediction(df: DataFrame) -> DataFrame:
         },
     )
     return replaced.drop("_intent", "_d")
+
+
+def _hit_texts() -> Column:
+    return F.coalesce(F.array_join(F.transform("retrieved", lambda h: h["text"]), " "), F.lit(""))
+
+
+def judge_batch(pred: DataFrame, response: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """((tweet_id, intent, scores, draft_reply), averages per dimension) of
+    predictions. Scores come from the column of model answers, if one is named,
+    and from the rules where an answer is missing or unreadable."""
+    rules = judge_heuristic(F.col("draft_reply"), _hit_texts())
+    scores = extract_json_scores(F.col(response), rules) if response else rules
+    judged = pred.select("tweet_id", "intent", scores.alias("scores"), "draft_reply")
+    return judged, judge_averages(judged)

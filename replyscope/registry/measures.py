@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from replyscope import constants as C
 from replyscope.functions import judging, replies, text as X
 from replyscope.functions.labels import heuristic_label, scaffold_labels
+from replyscope.plans.answer import judge_batch as judge
 from replyscope.operators import agreement as A, chains, metrics as M, threads as T
 from replyscope.registry import sql as S
 from replyscope.registry.inputs import aligned_labels, documents, messages, r6, table, threads
@@ -79,6 +80,24 @@ def evaluate_all(spark, d):
         r6("escalate.f1").alias("escalate_f1"), r6("retrieval.avg_score").alias("avg_score"), r6("headline").alias("headline"),
     )
 
+def evaluate_named(spark, d):
+    """Labels under their other names on one side, half of the usual ones empty."""
+    gold, pred = _documents_to_measure(spark, d)
+    gold = gold.withColumn("label", F.col("intent")).withColumn("intent", F.when(F.col("row_ord") % 2 == 0, F.col("intent")).otherwise(F.lit("")))
+    m = M.evaluate_all(gold, pred.withColumnRenamed("escalate", "escalate_label"))
+    return m.select(r6("intent.macro_f1").alias("macro_f1"), r6("escalate.f1").alias("escalate_f1"), F.col("retrieval.n").alias("with_hits"))
+
+def judge_batch(spark, d):
+    """Judge over drafted threads: scores per message next to the averages."""
+    reply = F.when(F.col("row_ord") % 5 == 0, F.col("brand_reply")).otherwise(replies.template_reply(heuristic_label(F.col("inbound_text"))))
+    none = F.lit(None).cast("double")
+    hit = F.struct(F.lit("p").alias("doc_id"), F.col("prev_turn").alias("text"), none.alias("score"), none.alias("bm25"), none.alias("dense"), none.alias("ce"))
+    pred = threads(spark, d).withColumns({"draft_reply": reply, "intent": heuristic_label(F.col("inbound_text")), "retrieved": F.array(hit).cast(RETRIEVED)})
+    answer_text = F.when(F.col("row_ord") % 3 == 0, F.lit('So: {"groundedness": 2, "helpfulness": 1, "brand_voice": 5, "safety": 4}')).otherwise(F.lit("no scores"))
+    judged, means = judge(pred.withColumn("answer", answer_text), "answer")
+    rows = judged.select("tweet_id", "intent", F.md5("draft_reply").alias("draft"), *[F.col("scores")[x].cast("double").alias(x) for x in C.DIMENSIONS])
+    return rows.unionByName(_rounded(means).select(F.lit("mean").alias("tweet_id"), F.lit("").alias("intent"), F.lit("").alias("draft"), *C.DIMENSIONS))
+
 def write_metrics(spark, d):
     path = scratch_path(spark, "metrics")
     save_metrics(M.evaluate_all(*_documents_to_measure(spark, d)), path)
@@ -231,6 +250,20 @@ ENTRIES = {
             PAIRS, SCORES, ESC, HITS,
         ),
     ),
+    "evaluate_named": (
+        evaluate_named,
+        S.with_threads(f"SELECT round({MACRO}, 6) AS macro_f1, round({ESC_F1}, 6) AS escalate_f1, (SELECT n FROM proxy) AS with_hits", PAIRS, SCORES, ESC, HITS),
+    ),
+    "judge_batch": (
+        judge_batch,
+        S.with_threads(
+            "SELECT tweet_id, intent, draft, " + ", ".join(C.DIMENSIONS) + " FROM graded UNION ALL SELECT 'mean', '', '', " + ", ".join(f"round(avg({x}), 6)" for x in C.DIMENSIONS) + " FROM graded",
+            RATINGS,
+            "graded AS (SELECT d.tweet_id, " + S.label("t.inbound_text") + " AS intent, md5(d.reply) AS draft, "
+            + ", ".join(f"CASE WHEN d.row_ord % 3 = 0 THEN {v} ELSE j.{x} END::DOUBLE AS {x}" for x, v in zip(C.DIMENSIONS, (2, 1, 5, 4)))
+            + " FROM drafted d JOIN judged j USING (tweet_id) JOIN threads t USING (tweet_id))",
+        ),
+    ),
     "write_metrics": (
         write_metrics,
         S.with_threads(f"SELECT round({MACRO}, 6) AS macro_f1, (SELECT count(*) FROM pairs) AS n, round(({MACRO} + {ESC_F1}) / 2, 6) AS headline", PAIRS, SCORES, ESC),

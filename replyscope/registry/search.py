@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from replyscope import constants as C
 from replyscope.operators import classifier, dedup, dense, features, index as I, language, retrieval
+from replyscope.functions.replies import template_reply
 from replyscope.operators.threads import nonempty_docs
 from replyscope.plans import answer, golden
 from replyscope.registry import sql as S
@@ -169,15 +170,21 @@ def _model(spark, d):
 
 
 def train_intent(spark, d):
-    """Training accuracy of the fitted model per weak label."""
+    """Rows per weak label, and whether the fitted model gets most of them right."""
     t, model = _model(spark, d)
     scored = classifier.score_intent(classifier.weak_label_set(t), model)
-    return scored.groupBy("weak_intent").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("intent") == F.col("weak_intent")).alias("right"))
+    right = F.count_if(F.col("intent") == F.col("weak_intent"))
+    return scored.groupBy("weak_intent").agg(F.count(F.lit(1)).alias("n"), (right > 0.9 * F.count(F.lit(1))).alias("learned"))
+
+
+def _valid():
+    """A label of the taxonomy with the probability of the largest of eight classes."""
+    return F.col("intent").isin(list(C.INTENTS)) & F.col("intent_confidence").between(1 / len(C.INTENTS) - 1e-9, 1 + 1e-9)
 
 
 def score_intent(spark, d):
     t, model = _model(spark, d)
-    return classifier.score_intent(t, model).select("tweet_id", "intent", r6("intent_confidence").alias("intent_confidence"))
+    return classifier.score_intent(t, model).select("tweet_id", _valid().alias("valid"))
 
 
 def score_intent_unfitted(spark, d):
@@ -188,8 +195,12 @@ def model_save(spark, d):
     t, model = _model(spark, d)
     path = scratch_path(spark, "model")
     classifier.model_save(model, path)
-    loaded = classifier.model_load(path)
-    return classifier.score_intent(t, loaded).select("tweet_id", "intent", r6("intent_confidence").alias("intent_confidence"))
+    answers = [
+        classifier.score_intent(t, m).select("tweet_id", F.col("intent").alias(f"i{i}"), F.col("intent_confidence").alias(f"c{i}"))
+        for i, m in enumerate((model, classifier.model_load(path)))
+    ]
+    same = (F.col("i0") == F.col("i1")) & (F.col("c0") == F.col("c1"))
+    return answers[0].join(answers[1], "tweet_id").select("tweet_id", same.alias("same"))
 
 
 def model_load(spark, d):
@@ -201,12 +212,29 @@ def model_load(spark, d):
 def holdout_report(spark, d):
     t = cut_lineage(threads(spark, d))
     report, _ = classifier.holdout_report(classifier.weak_label_set(t))
-    return report
+    within = F.col("f1").between(0, 1) & F.col("precision").between(0, 1) & F.col("recall").between(0, 1)
+    return report.filter("support > 0").select("label", "support", within.alias("valid"))
 
 
 def answer_with_model(spark, d):
+    """The columns that do not depend on the fit, and whether the others are valid."""
     t, model = _model(spark, d)
-    return _answer_columns(answer.answer_batch(t, I.index_build(nonempty_docs(t)), model))
+    answers = answer.answer_batch(t, I.index_build(nonempty_docs(t)), model)
+    valid = _valid() & F.col("escalate_category").isNotNull() & (F.col("draft_reply") == template_reply(F.col("intent")))
+    return _answer_columns(answers.withColumn("valid", valid)).select("tweet_id", "brand", "doc_ids", "total").join(answers.select("tweet_id", valid.alias("valid")), "tweet_id")
+
+
+def answer_given_replies(spark, d):
+    """Written replies instead of templates, with their grounded flag."""
+    t = cut_lineage(threads(spark, d))
+    answers = answer.answer_batch(t, I.index_build(nonempty_docs(t)), reply="brand_reply")
+    return answers.select("tweet_id", F.md5("draft_reply").alias("draft"), "draft_model", "grounded")
+
+
+def near_dup_small_blocks(spark, d):
+    """As near_dup_pairs, in many rounds over short lists."""
+    pairs = dedup.near_dup_pairs(documents(spark, d), "doc_id", "text", ["doc_id"], 0.9, first_block=16)
+    return pairs.select("kept_doc_id", "removed_doc_id", r6("cosine").alias("cosine"))
 
 
 # --- duplicates -------------------------------------------------------------------------
@@ -322,6 +350,7 @@ best AS (SELECT doc_id, first(l ORDER BY round(gain + g * low, 6) DESC, l) AS l
 spoken AS (SELECT n.doc_id, CASE WHEN n.len <= 15 THEN 'en' ELSE coalesce(b.l, 'en') END AS language FROM norm n LEFT JOIN best b USING (doc_id))"""
 
 HYBRID_SQL = bench_sql("SELECT query_id, rank, doc_id, round(score, 6) AS score, round(bm25, 6) AS bm25, round(dense, 6) AS dense FROM hybrid WHERE rank <= 10")
+NEAR_SQL = f"WITH RECURSIVE {DUPLICATES} SELECT min(a) AS kept_doc_id, b AS removed_doc_id, round(arg_min(c, a), 6) AS cosine FROM sim WHERE b IN (FROM gone) AND a NOT IN (FROM gone) GROUP BY b"
 _ROUTED = S.route("inbound_text", "i", "0.45", "thread_len", "prev_turn")
 ENTRIES = {
     "term_vocab": (
@@ -390,17 +419,37 @@ ENTRIES = {
             f"asking AS MATERIALIZED (SELECT *, {S.label('inbound_text')} AS i FROM threads)",
         ),
     ),
-    "train_intent": (train_intent, None),
-    "score_intent": (score_intent, None),
+    "train_intent": (
+        train_intent,
+        S.with_threads(f"SELECT {S.label('inbound_text')} AS weak_intent, count(*) AS n, true AS learned FROM (SELECT * FROM threads ORDER BY md5('42:' || tweet_id) LIMIT 5000) GROUP BY 1"),
+    ),
+    "score_intent": (score_intent, S.with_threads("SELECT tweet_id, true AS valid FROM threads")),
     "score_intent_unfitted": (score_intent_unfitted, S.with_threads(f"SELECT tweet_id, {S.label('inbound_text')} AS intent, 0.4::DOUBLE AS intent_confidence FROM threads")),
-    "model_save": (model_save, None),
+    "model_save": (model_save, S.with_threads("SELECT tweet_id, true AS same FROM threads")),
     "model_load": (model_load, S.with_threads(f"SELECT tweet_id, {S.label('inbound_text')} AS intent, 0.4::DOUBLE AS intent_confidence FROM threads")),
-    "holdout_report": (holdout_report, None),
-    "answer_with_model": (answer_with_model, None),
-    "near_dup_pairs": (
-        near_dup_pairs,
-        f"WITH RECURSIVE {DUPLICATES} SELECT min(a) AS kept_doc_id, b AS removed_doc_id, round(arg_min(c, a), 6) AS cosine FROM sim WHERE b IN (FROM gone) AND a NOT IN (FROM gone) GROUP BY b",
+    "holdout_report": (
+        holdout_report,
+        S.with_threads(
+            "SELECT label, count(*) AS support, true AS valid FROM part GROUP BY label UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM part), true",
+            f"weak AS (SELECT tweet_id, {S.label('inbound_text')} AS label FROM threads ORDER BY md5('42:' || tweet_id) LIMIT 5000)",
+            "part AS (SELECT * FROM weak ORDER BY md5('42:' || tweet_id) LIMIT (SELECT (count(*) + 4) // 5 FROM weak))",
+        ),
+    ),
+    "answer_with_model": (
+        answer_with_model,
+        thread_sql("SELECT tweet_id, brand, coalesce(doc_ids, '') AS doc_ids, coalesce(total, 0) AS total, true AS valid FROM threads LEFT JOIN tops ON tops.query_id = tweet_id", TOTALS),
+    ),
+    "answer_given_replies": (
+        answer_given_replies,
+        thread_sql(
+            f"""SELECT tweet_id, md5(reply) AS draft, CASE WHEN brand_reply <> '' THEN 'given' ELSE 'heuristic' END AS draft_model,
+                len(list_filter({S.long_numbers('reply')}, lambda n: NOT contains(coalesce(corpus, ''), n))) = 0 AS grounded FROM asking LEFT JOIN seen ON seen.query_id = asking.tweet_id""",
+            "seen AS (SELECT query_id, string_agg(text, ' ' ORDER BY rank) AS corpus FROM hybrid JOIN docs USING (doc_id) WHERE rank <= 3 GROUP BY query_id)",
+            f"asking AS MATERIALIZED (SELECT *, CASE WHEN brand_reply <> '' THEN brand_reply ELSE {S.template(S.label('inbound_text'))} END AS reply FROM threads)",
+        ),
     ),
+    "near_dup_small_blocks": (near_dup_small_blocks, NEAR_SQL),
+    "near_dup_pairs": (near_dup_pairs, NEAR_SQL),
     "dedup_keep_first": (dedup_keep_first, f"WITH RECURSIVE {DUPLICATES} SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (FROM gone)"),
     "language_profiles": (language_profiles, f"WITH {PROFILES} SELECT lang, gram, round(logp, 6) AS logp FROM prof"),
     "detect_language": (detect_language, f"WITH {PROFILES}, {DETECT} SELECT * FROM spoken"),

@@ -287,7 +287,19 @@ def _scores_sql() -> str:
       CASE WHEN ok THEN json_extract_string(body, '$.evidence') ELSE 'heuristic' END AS evidence FROM o"""
 
 
+def redact_pii(spark, d):
+    redacted = text.redact_pii(F.col("text"))
+    return documents(spark, d).select("doc_id", F.md5(redacted).alias("redacted"), (redacted != F.col("text")).alias("changed"))
+
+
+def _redact_sql(x: str) -> str:
+    for pattern, kind in text.PERSONAL:
+        x = f"regexp_replace({x}, {S.q(pattern)}, {S.q(kind)}, 'g')"
+    return x
+
+
 ENTRIES = {
+    "redact_pii": (redact_pii, f"SELECT doc_id, md5({_redact_sql('text')}) AS redacted, {_redact_sql('text')} <> text AS changed FROM documents"),
     "clean_text": (clean_text, f"SELECT doc_id, length(c) AS n, md5(c) AS cleaned FROM (SELECT doc_id, {S.clean('text')} AS c FROM documents)"),
     "normalize_inbound": (
         normalize_inbound,
