@@ -50,7 +50,7 @@ def test_chain_depth(spark):
     rows = [(str(i), "u", True, None, "x", "", str(i - 1) if i else "") for i in range(37)]
     rows += [("a", "u", True, None, "x", "", "b"), ("b", "u", True, None, "x", "", "a"), ("z", "u", True, None, "x", "", "gone")]
     got = {r.tweet_id: r.depth for r in reply_chain_depth(raw_frame(spark, rows)).collect()}
-    assert got == {**{str(i): i + 1 for i in range(37)}, "z": 1}
+    assert got == {**{str(i): i + 1 for i in range(37)}, "z": 1, "a": None, "b": None}
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 150, 299, 300, 900])
@@ -139,5 +139,5 @@ def test_alignment(spark):
     pred = spark.createDataFrame([("2", 1, "x"), ("9", 2, "y")], "tweet_id string, row_ord int, intent string")
     assert [(r.gold_intent, r.pred_intent) for r in metrics.align_predictions(gold, pred).collect()] == [("c", "x")]
     other = pred.withColumn("tweet_id", F.concat(F.lit("p"), "tweet_id"))
-    by_position = metrics.align_predictions(gold, other).orderBy("row_ord").collect()
+    by_position = metrics.align_predictions(gold, other).orderBy("position").collect()
     assert [(r.gold_intent, r.pred_intent) for r in by_position] == [("a", "x"), ("b", "y")]
