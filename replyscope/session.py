@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,10 +46,46 @@ def spread_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Materialise a reused intermediate as a table in the shared folder, so that
     a lost executor costs a file read and not the whole history of the plan.
-    Parquet keeps column pruning and size statistics for the joins that follow."""
-    path = scratch_path(df.sparkSession, "cut")
+    Parquet keeps column pruning and size statistics for the joins that follow.
+    Inside `temporary_tables` or `own_scratch` the table is deleted at the end."""
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the tables that `cut_lineage` wrote inside: for callers
+    that write a result before they leave."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def own_scratch(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The function with its result written and its other tables deleted. The
+    result in turn is a temporary table of the caller, if it has a scope."""
+
+    @functools.wraps(fn)
+    def run(*args, **options) -> DataFrame:
+        with temporary_tables(SparkSession.active()):
+            result = fn(*args, **options)
+            inside = _scopes.pop()
+            try:
+                return cut_lineage(result, fn.__name__)
+            finally:
+                _scopes.append(inside)
+
+    return run
