@@ -5,9 +5,7 @@ cuts exactly there, and no UTF-8 sequence contains those bytes."""
 
 from __future__ import annotations
 
-import functools
 import os
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -17,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from replyscope.session import shared_folder
+from replyscope.session import cut_lineage as stored
+from replyscope.session import own_scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 128  # texts may be long: a batch stays small whatever the default is
@@ -33,49 +32,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-_scopes: list[list[str]] = []
-
-
-def stored(df: DataFrame, name: str = "llm") -> DataFrame:
-    """The table written to the shared folder and read again: later jobs read
-    files that outlive an executor instead of repeating the work before. Inside
-    `own_scratch` it is deleted when the function has returned its result."""
-    spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    if _scopes:
-        _scopes[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def own_scratch(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """The function with its result written, and its other tables deleted."""
-
-    @functools.wraps(fn)
-    def run(*args, **options) -> DataFrame:
-        _scopes.append([])
-        result = None
-        try:
-            result = fn(*args, **options)
-        finally:
-            paths = _scopes.pop()
-            try:
-                if result is not None:
-                    result = stored(result, fn.__name__)  # scratch of the caller, if it has its own
-            finally:
-                _delete(paths)
-        return result
-
-    return run
-
-
-def _delete(paths: list[str]) -> None:
-    spark = SparkSession.active()
-    for path in paths:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def map_batches(df: DataFrame, fn: Callable[[Iterator[dict]], Iterable[dict]], schema: str) -> DataFrame:
     """mapInArrow with plain columns: `fn` gets dicts of Python lists and yields
     dicts of lists or arrays, one per output batch, in the order of `schema`."""
