@@ -8,19 +8,21 @@ fixed random order (optimal densification, Shrivastava 2017), so that small sets
 have full bands too: two sets of Jaccard similarity s share a band with
 probability 1 - (1 - s^4)^32, which leaves out 5 in 10^8 pairs at s = 0.8.
 
-Documents with equal sets are one class from the start. Bands are then used in four
-rounds of eight: every class is compared with one random class of each of its bands,
+Documents with equal sets are one class from the start. Bands are then used in three
+rounds, each with its third: every class is compared with one random class of each of its bands,
 the most similar of them is confirmed on the full shingle sets, and components grow.
 That is linear in any group of copies, and joins almost all of a group. At last the
-bands that still hold several components are searched completely, pair by pair over
-blocks of registers, for pairs between different components; a pair is reported by
-the first band it shares. Pairs are confirmed unless the estimated similarity,
-corrected for accidental register equality, is five standard errors below the
-threshold. No band, group or number of partners is capped."""
+bands that still hold several components are searched completely: a task compares
+two blocks of a band, sets included, for pairs of different components that share no
+earlier band, and reports one confirmed link for a class and component. Pairs are
+confirmed unless the estimated similarity, corrected for accidental register
+equality, is five standard errors below the threshold. No band, group or number of
+partners is capped."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,9 @@ BUCKETS = 128
 BANDS = 32
 MANTISSA = 10
 HASH_BITS = 57  # of a shingle's hash, below the seven that choose the bucket
-BLOCK = 1_000  # classes of one band that are compared in one task
-ROUNDS = 4  # of linear comparisons, each with its share of the bands
+BLOCK = 2_000_000  # shingles of one band's block; a task compares two blocks at most
+ROUNDS = 3  # of linear comparisons, each with its share of the bands
+STEPS = 3  # that components grow between rounds
 BROADCAST_ROWS = 500_000  # pairs or ids, 16 bytes each, that are sent to every task
 _BORROW = np.stack([np.random.default_rng(i).permutation(BUCKETS) for i in range(BUCKETS)])
 
@@ -161,7 +164,7 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int, percent: int,
     candidates = stored(members.select("rep").distinct(), "candidates")
     light = stored(classes.select("rep", "n_shingles", "registers").join(_sent(candidates), "rep"), "light")
     sets = stored(_shingle_sets(docs, candidates, shingle, key, text), "sets")
-    links, comp = None, light.select("rep", F.col("rep").alias("component"))
+    links, comp = [], light.select("rep", "n_shingles", F.col("rep").alias("component"))
     for round_ in range(ROUNDS):
         placed = members.filter(F.col("band") % ROUNDS == round_).join(_sent(comp), "rep")
         order = F.xxhash64("rep", "band", "value")
@@ -171,17 +174,29 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int, percent: int,
         centre = stored(centre.filter("c1 <> c2").select("band", "value", "a", "c"), "centres")
         star = placed.join(centre, ["band", "value"]).filter("component <> c").select("a", F.col("rep").alias("b")).distinct()
         near = _similar(star, light, percent).groupBy("b").agg(F.max_by("a", "similarity").alias("a"))
-        found = _confirmed(near.select("a", "b"), sets, percent)
-        links = stored(found if links is None else links.unionByName(found), "links")
-        known = components(links).withColumnRenamed("node", "rep")
-        comp = light.select("rep").join(_sent(stored(known, "known")), "rep", "left")
-        comp = stored(comp.select("rep", F.coalesce("component", "rep").alias("component")), "comp")
+        links.append(stored(_confirmed(near.select("a", "b"), sets, percent), "links"))
+        comp = stored(_contracted(comp, links[-1]), "comp")
     placed = members.join(_sent(comp), "rep")
-    mixed = placed.groupBy("band", "value").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("rep").alias("n"))
+    mixed = placed.groupBy("band", "value").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.sum("n_shingles").alias("n"))
     mixed = stored(mixed.filter("c1 <> c2").select("band", "value", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "mixed")
-    open_members = stored(placed.join(mixed, ["band", "value"]), "open")
-    rest = _pairs_of_blocks(open_members.join(_sent(light), "rep"), percent)
-    return links.unionByName(_confirmed(rest, sets, percent))
+    open_members = stored(placed.drop("n_shingles").join(mixed, ["band", "value"]), "open")
+    rest = _links_of_blocks(open_members.join(sets.withColumnRenamed("key", "rep"), "rep"), percent)
+    return reduce(DataFrame.unionByName, links, rest)
+
+
+def _contracted(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """`comp` (rep, n_shingles, component) after `STEPS` steps along new links towards the
+    smallest component. What stays apart is no mistake here: it is searched again."""
+    ends = [comp.select(F.col("rep").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
+    across = links.join(_sent(ends[0]), "a").join(_sent(ends[1]), "b").filter("ca <> cb")
+    both = across.select(F.col("ca").alias("x"), F.col("cb").alias("y")).unionByName(across.select(F.col("cb").alias("x"), F.col("ca").alias("y")))
+    both = stored(both.distinct(), "across")
+    label = stored(both.groupBy("x").agg(F.min("y").alias("y")).select("x", F.least("x", "y").alias("z")), "labels")
+    for _ in range(STEPS - 1):
+        beside = _sent(label).withColumnRenamed("x", "y")
+        label = stored(both.join(beside, "y").groupBy("x").agg(F.min("z").alias("z")), "labels")
+    label = _sent(label).withColumnRenamed("x", "component")
+    return comp.join(label, "component", "left").select("rep", "n_shingles", F.coalesce("z", "component").alias("component"))
 
 
 def _sent(table: DataFrame) -> DataFrame:
@@ -219,40 +234,48 @@ def _similar(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
     return map_batches(sized.select("a", "b", "na", "nb", "ra", "rb"), run, "a long, b long, similarity double")
 
 
-def _pairs_of_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Similar pairs (a, b) of different components within one band that share no
-    earlier band. The members of a band are dealt over a grid of blocks, so a task
-    sees two blocks at most."""
+def _links_of_blocks(members: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between different components within one band, one
+    for every class and other component of a block. Pairs that share an earlier band
+    are left to it. A band's members are dealt over a grid of blocks."""
     floor = floor_of(percent)
 
     def compare(table: pa.Table) -> pa.Table:
-        rep, comp, n = (table[c].to_numpy() for c in ("rep", "component", "n_shingles"))
-        left, row, column = table["left"].to_numpy(zero_copy_only=False), table["row"][0].as_py(), table["col"][0].as_py()
-        reg = np.frombuffer(b"".join(table["registers"].to_pylist()), np.uint16).reshape(-1, BUCKETS)
+        rep, comp = (table[c].to_numpy() for c in ("rep", "component"))
+        left, diagonal = table["left"].to_numpy(zero_copy_only=False), table["row"][0].as_py() == table["col"][0].as_py()
+        sets = [x.values.to_numpy().view(np.uint64) for x in table["shingles"].combine_chunks()]
+        n, reg = np.array([len(s) for s in sets]), np.stack([registers(s) for s in sets])
         earlier = reg.view(np.uint64)[:, : table["band"][0].as_py()]
-        found = []
-        right = np.flatnonzero(~left) if row != column else np.arange(len(rep))
+        right, found = np.arange(len(rep)) if diagonal else np.flatnonzero(~left), []
         for i in np.flatnonzero(left):
-            other = right if row != column else right[right > i]
-            other = other[comp[other] != comp[i]]
+            other = right[right > i] if diagonal else right
+            other = other[(comp[other] != comp[i]) & (100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i]))]
             other = other[(earlier[other] != earlier[i]).all(axis=1)]
-            other = other[100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i])]
-            equal = (reg[other] == reg[i]).sum(axis=1)
-            other = other[estimate(equal, np.full(len(other), n[i]), n[other]) >= floor]
-            found.append((np.minimum(rep[other], rep[i]), np.maximum(rep[other], rep[i])))
-        a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.int64)
+            other = other[estimate((reg[other] == reg[i]).sum(axis=1), np.full(len(other), n[i]), n[other]) >= floor]
+            linked: set[int] = set()
+            for j in other:
+                if comp[j] not in linked and 100 * (common := _common(sets[i], sets[j])) >= percent * (n[i] + n[j] - common):
+                    linked.add(comp[j])
+                    found.append((rep[i], rep[j]))
+        a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     grid = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     grid = grid.select(
-        "band", "value", "rep", "component", "n_shingles", "registers",
+        "band", "value", "rep", "component", "shingles",
         F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"), (F.col("own") <= F.col("other")).alias("left"),
     )
     return grid.groupBy("band", "value", "row", "col").applyInArrow(compare, "a long, b long")
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    at = np.searchsorted(a, b)
+    at[at == len(a)] = 0
+    return int((a[at] == b).sum())
+
+
 def _shingle_sets(docs: DataFrame, candidates: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
     """(key, shingles) of the candidate documents."""
 
