@@ -37,7 +37,7 @@ def corpus(seed=1):
 def test_near_duplicates_equal_brute_force(spark, size):
     rows = corpus(size)
     df = spark.createDataFrame([(k, t, "clash", 1) for k, t in rows], "doc_id long, text string, key string, component int").repartition(7)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df, shingle=size, block=3).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df, shingle=size, block=300).collect()}
     want = brute.near_duplicates(rows, size)
     assert got == {k: (n, c, c == k) for k, (n, c) in want.items()}
 
