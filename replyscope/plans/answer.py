@@ -25,12 +25,14 @@ RESULT = (
 
 def answer_batch(
     messages: DataFrame, index: Index, model: PipelineModel | None = None, alpha: float = 0.7, k: int = 3, hot_texts: int = HOT_TEXTS,
-    reply: str | None = None,
+    reply: str | None = None, hits: DataFrame | None = None,
 ) -> DataFrame:
     """Input columns are kept, result columns are added or replaced. Retrieval
     runs once per distinct text and is joined back on it. Where a column of
     written replies is named, a non-empty one is the draft instead of the
-    template, and `grounded` tells that all its long numbers were retrieved."""
+    template, and `grounded` tells that all its long numbers were retrieved.
+    `hits` (tweet_id, retrieved) replaces the retrieval here by hits found before,
+    by vectors or reranked (see hybrid_vectors, rerank_fuse and collect_hits)."""
     have = messages.columns
     fields = messages.withColumns(
         {
@@ -41,7 +43,12 @@ def answer_batch(
     )
     scored = score_intent(fields.drop("intent", "intent_confidence"), model, "_text", fallback_confidence=0.45)
     keyed = keyed_queries(scored.withColumn("_query", build_query_text(F.col("_text"), F.col("_prev"))), "_query")
-    decided = attach_hits(keyed, index, alpha, k, hot_texts).withColumn(
+    if hits is None:
+        found = attach_hits(keyed, index, alpha, k, hot_texts)
+    else:
+        found = keyed.drop("q_key", "q_text", "retrieved").join(hits.select("tweet_id", "retrieved"), "tweet_id", "left")
+        found = found.withColumn("retrieved", F.coalesce("retrieved", F.array().cast(hits.schema["retrieved"].dataType)))
+    decided = found.withColumn(
         "_decision", route(F.col("_text"), F.col("intent"), F.col("intent_confidence"), F.col("_len"), F.col("_prev"))
     )
     draft, source, grounded = template_reply(F.col("intent")), F.lit("heuristic"), []

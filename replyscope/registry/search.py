@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from replyscope import constants as C
-from replyscope.operators import classifier, dedup, dense, features, index as I, language, retrieval
+from replyscope.operators import classifier, dedup, dense, features, hybrid, index as I, language, retrieval
 from replyscope.functions.replies import template_reply
 from replyscope.operators.threads import nonempty_docs
 from replyscope.plans import answer, golden
@@ -143,6 +143,38 @@ def dense_cosine(spark, d):
     return dense.dense_cosine(queries, docs, 5).select("query_id", "doc_id", r6("dense").alias("dense"), F.col("rank").cast("long").alias("rank"))
 
 
+def _with_vectors(spark, d):
+    """Documents and benchmark questions that have a vector of the same id."""
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("doc_id"), F.col("embedding").alias("vector"))
+    docs = documents(spark, d).select(F.col("doc_id").cast("string").alias("doc_id"), F.trim("text").alias("text")).filter("text <> ''")
+    docs = docs.join(vectors.select("doc_id"), "doc_id", "left_semi")
+    asked = _benchmark(spark, d).join(vectors.select(F.col("doc_id").cast("long").alias("query_id"), "vector"), "query_id")
+    return asked, I.index_build(docs), vectors.join(docs.select("doc_id"), "doc_id", "left_semi")
+
+
+def hybrid_vectors(spark, d):
+    found = hybrid.hybrid_vectors(*_with_vectors(spark, d), k=5)
+    return _ranked(found, r6("score").alias("score"), r6("bm25").alias("bm25"), r6("dense").alias("dense"))
+
+
+def hybrid_vectors_shallow(spark, d):
+    """With cuts so early that most questions have to go deeper."""
+    found = hybrid.hybrid_vectors(*_with_vectors(spark, d), k=5, depth=5)
+    return _ranked(found, r6("score").alias("score"), r6("bm25").alias("bm25"), r6("dense").alias("dense"))
+
+
+def answer_reranked(spark, d):
+    """Benchmark questions as messages: vectors, the best ten reranked, answered."""
+    asked, index, vectors = _with_vectors(spark, d)
+    pool = hybrid.hybrid_vectors(asked, index, vectors, k=10)
+    pair = F.md5(F.concat(F.col("query_id").cast("string"), F.lit(":"), F.col("doc_id")))
+    pool = pool.withColumn("ce", F.conv(F.substring(pair, 1, 6), 16, 10).cast("double"))
+    hits = retrieval.collect_hits(retrieval.rerank_fuse(pool), with_ce=True).select(F.col("query_id").cast("string").alias("tweet_id"), "retrieved")
+    messages_ = asked.select(F.col("query_id").cast("string").alias("tweet_id"), F.col("query_text").alias("text"))
+    answers = answer.answer_batch(messages_, index, hits=hits)
+    return answers.select("tweet_id", "intent", F.array_join(F.transform("retrieved", lambda h: h["doc_id"]), ",").alias("doc_ids"), r6(F.col("retrieved")[0]["score"]).alias("best"))
+
+
 def fallback_corpus(spark, d):
     """Threads answered from the stock replies."""
     hits = answer.answer_batch(threads(spark, d), I.fallback_corpus(spark))
@@ -349,6 +381,18 @@ gain AS (SELECT g.doc_id, p.lang AS l, sum(g.n * (p.logp - low)) AS gain FROM gr
 best AS (SELECT doc_id, first(l ORDER BY round(gain + g * low, 6) DESC, l) AS l FROM gain JOIN total USING (doc_id) JOIN lows USING (l) GROUP BY doc_id),
 spoken AS (SELECT n.doc_id, CASE WHEN n.len <= 15 THEN 'en' ELSE coalesce(b.l, 'en') END AS language FROM norm n LEFT JOIN best b USING (doc_id))"""
 
+def vector_sql(body: str, *more: str) -> str:
+    docs = DOCS_SQL + " AND doc_id IN (SELECT vec_id FROM embeddings)"
+    asked = BENCH_SQL + " WHERE item_id IN (SELECT vec_id FROM embeddings)"
+    found = (
+        "vec AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)",
+        "vscored AS MATERIALIZED (SELECT s.query_id, s.doc_id, s.bm25, (list_cosine_similarity(a.v, b.v) + 1) / 2 AS near FROM scored s JOIN vec a ON a.vec_id = s.query_id JOIN vec b ON CAST(b.vec_id AS VARCHAR) = s.doc_id)",
+        "vhybrid AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM (SELECT *, 0.7 * bm25 + (1 - 0.7::DOUBLE) * near AS score FROM vscored))",
+    )
+    return "WITH " + ", ".join([*corpus_sql(docs, asked), *found, *more]) + " " + body
+
+
+VECTOR_SQL = vector_sql("SELECT query_id, rank, doc_id, round(score, 6) AS score, round(bm25, 6) AS bm25, round(near, 6) AS dense FROM vhybrid WHERE rank <= 5")
 HYBRID_SQL = bench_sql("SELECT query_id, rank, doc_id, round(score, 6) AS score, round(bm25, 6) AS bm25, round(dense, 6) AS dense FROM hybrid WHERE rank <= 10")
 NEAR_SQL = f"WITH RECURSIVE {DUPLICATES} SELECT min(a) AS kept_doc_id, b AS removed_doc_id, round(arg_min(c, a), 6) AS cosine FROM sim WHERE b IN (FROM gone) AND a NOT IN (FROM gone) GROUP BY b"
 _ROUTED = S.route("inbound_text", "i", "0.45", "thread_len", "prev_turn")
@@ -409,6 +453,19 @@ ENTRIES = {
            r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(dense, 9) DESC, doc_id) AS rank FROM s)
            SELECT query_id, doc_id, round(dense, 6) AS dense, rank FROM r WHERE rank <= 5""",
     ),
+    "hybrid_vectors": (hybrid_vectors, VECTOR_SQL),
+    "hybrid_vectors_shallow": (hybrid_vectors_shallow, VECTOR_SQL),
+    "answer_reranked": (
+        answer_reranked,
+        vector_sql(
+            f"SELECT CAST(query_id AS VARCHAR) AS tweet_id, {S.label('query_text')} AS intent, doc_ids, best FROM told JOIN asked USING (query_id)",
+            "pool AS (SELECT query_id, doc_id, score, CAST(CAST('0x' || substr(md5(query_id || ':' || doc_id), 1, 6) AS BIGINT) AS DOUBLE) AS ce FROM vhybrid WHERE rank <= 10)",
+            "mm AS (SELECT *, min(ce) OVER (PARTITION BY query_id) AS lo, max(ce) OVER (PARTITION BY query_id) AS hi FROM pool)",
+            "fz AS (SELECT query_id, doc_id, 0.5 * score + 0.5 * CASE WHEN hi > lo THEN (ce - lo) / (hi - lo) ELSE 0 END AS fused FROM mm)",
+            "fuse AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(fused, 9) DESC, doc_id) AS rank FROM fz)",
+            "told AS (SELECT query_id, string_agg(doc_id, ',' ORDER BY rank) AS doc_ids, round(max(fused), 6) AS best FROM fuse WHERE rank <= 3 GROUP BY query_id)",
+        ),
+    ),
     "fallback_corpus": (fallback_corpus, thread_sql("SELECT query_id AS tweet_id, doc_ids FROM tops", TOTALS, docs=STOCK_SQL)),
     "answer_batch": (
         answer_batch,
