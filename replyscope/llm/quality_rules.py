@@ -30,13 +30,16 @@ STRIP = b".,;:!?\"'()"
 Reference = tuple[np.ndarray, dict[bytes, int], np.ndarray]
 
 
-def plain_counts(words: list[bytes]) -> Counter:
-    """Counts of the words without case (A-Z) and outer punctuation."""
-    out: Counter = Counter()
+def plain_word(word: bytes) -> bytes:
+    """The word without case (A-Z) and outer punctuation."""
+    return word.strip(STRIP).lower()
+
+
+def count_plain(words: list[bytes], into: dict[bytes, int]) -> None:
+    """Adds the counts of the plain words that are not empty."""
     for word, n in Counter(words).items():
-        if plain := word.strip(STRIP).lower():
-            out[plain] += n
-    return out
+        if plain := plain_word(word):
+            into[plain] = into.get(plain, 0) + n
 
 
 def jensen_shannon(p: np.ndarray, q: np.ndarray) -> float:
@@ -59,16 +62,16 @@ def references(docs: DataFrame, common: int = COMMON_WORDS, lang: str = "lang",
 
     def count(parts: Iterator[dict]) -> Iterator[dict]:
         classes: dict = defaultdict(lambda: np.zeros(len(CLASSES), np.int64))
-        words: Counter = Counter()
+        words: dict = defaultdict(dict)
         for part in parts:
             for name, body in zip(part["lang"], part["text"]):
                 classes[name] += class_counts(byte_counts(body or b""))
-                for word, n in plain_counts(split_words(body)).items():
-                    words[name, word] += n
-            if len(words) > FLUSH:
-                yield rows([(*k, None, n) for k, n in words.items()])
+                count_plain(split_words(body), words[name])
+            if sum(map(len, words.values())) > FLUSH:
+                yield rows([(name, word, None, n) for name, own in words.items() for word, n in own.items()])
                 words.clear()
-        yield rows([(*k, None, n) for k, n in words.items()] + [(name, None, i, n) for name, c in classes.items() for i, n in enumerate(c.tolist())])
+        yield rows([(name, word, None, n) for name, own in words.items() for word, n in own.items()])
+        yield rows([(name, None, i, n) for name, c in classes.items() for i, n in enumerate(c.tolist())])
 
     def rows(found: list[tuple]) -> dict:
         return dict(zip(("lang", "word", "class", "n"), zip(*found))) if found else dict.fromkeys(("lang", "word", "class", "n"), [])
@@ -105,10 +108,11 @@ def distances(counts: np.ndarray, words: list[bytes], reference: Reference, min_
     by_class = jensen_shannon(classes.astype(float), histogram) if classes.sum() >= min_chars else None
     if len(words) < min_words:
         return by_class, None
-    own = np.zeros(len(common))
-    for word, n in plain_counts(words).items():
-        own[places.get(word, len(places))] += n
-    return by_class, jensen_shannon(own, common)
+    own = [0] * len(common)
+    for word, n in Counter(words).items():
+        if plain := plain_word(word):
+            own[places.get(plain, len(places))] += n
+    return by_class, jensen_shannon(np.array(own, float), common)
 
 
 def judge(
