@@ -169,7 +169,7 @@ def best_texts(queries: DataFrame, index: Index, alpha: float, k: int, hot_texts
         if hot_texts >= index.n_texts or rest.isEmpty():
             return found
         terms = cut_lineage(rest)
-        hot_texts *= WIDEN
+        hot_texts = max(hot_texts, 1) * WIDEN
         more = _answered(terms, index, alpha, k, hot_texts)
         found = Scored(found.best.unionByName(more.best), found.stats.unionByName(more.stats))
 
