@@ -8,9 +8,12 @@ refinement ends when hardly any list changes. The recall of the links is then
 measured with a sample of nodes against all vectors; if it is too low, more
 buckets are drawn and the descent goes on.
 
-Edges above the threshold give the components. Lists that stay saturated are
-completed inside their component, block by block, where counts of links and not
-pairs leave a task. All similarities are computed in double precision."""
+Equal vectors are one node with a multiplicity. Edges above the threshold give the
+components. A list that was saturated may lack links to other components; such
+nodes are covered by leaders, and components are joined exactly through pairs of
+leaders whose angle allows a link of their members. Saturated lists are completed
+inside their component, block by block, where counts of links and not pairs leave
+a task. All similarities are computed in double precision."""
 
 from __future__ import annotations
 
@@ -34,6 +37,7 @@ RECALL = 0.99
 AUDIT = 256  # vectors compared with all others
 BLOCK = 1_024  # vectors of a component's block
 LONGEST = 64  # neighbours that a saturated list grows to before its component is counted in blocks
+COVER = 0.99  # cosine of a leader to the nodes it stands for
 
 
 def unit_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -50,7 +54,7 @@ def unit_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                     if np.isfinite(unit).all() and largest > 0:
                         unit = unit / largest  # no overflow of squares
                         out["id"].append(name)
-                        out["v"].append(unit / np.sqrt((unit * unit).sum()))
+                        out["v"].append(unit / np.sqrt((unit * unit).sum()) + 0.0)  # no negative zeros
             yield out
 
     rows = vectors.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
@@ -160,6 +164,90 @@ def descend(vectors: DataFrame, threshold: float, graph: DataFrame | None, round
     return graph
 
 
+def _collapse(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, v, w): every different vector under the smallest of its w ids; and
+    (id, node, w) for every id."""
+    nodes = stored(rows.groupBy("v").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("w")), "nodes")
+    many = stored(nodes.filter("w > 1"), "repeated")
+    named = rows.join(many, "v", "left").select("id", F.coalesce("node", "id").alias("node"), F.coalesce("w", F.lit(1)).cast("long").alias("w"))
+    return stored(nodes.select(F.col("node").alias("id"), "v", "w"), "vectors"), stored(named, "named")
+
+
+def _joined(comp: DataFrame, pairs: DataFrame) -> DataFrame:
+    """`comp` with the components of every pair (a, b) joined."""
+    roots = stored(components(pairs).select(F.col("node").alias("component"), F.col("component").alias("root")), "roots")
+    return stored(comp.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component")), "components")
+
+
+def _cover(c: dict) -> tuple:
+    """A leader of every node, at cosine `COVER` or more, and the cosine."""
+    ids, s = c["id"], c["v"] @ c["v"].T
+    leader, left = np.zeros(len(ids), np.int64), np.ones(len(ids), bool)
+    while left.any():
+        i = int(left.argmax())
+        own = left & (s[i] >= COVER)
+        own[i] = True
+        leader[own] = i
+        left &= ~own
+    return ids, ids[leader], np.minimum(s[np.arange(len(ids)), leader], 1.0)
+
+
+def _cross(vectors: DataFrame, graph: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
+    """`comp` with those components joined that a link between two nodes joins whose
+    lists are or were saturated. Exact: two nodes can be linked only if the angle of
+    their leaders is at most that of the threshold and both leaders' reach. Leaders
+    are compared over a grid of blocks, then the members of the pairs that are left."""
+    last = F.try_element_at("near", F.lit(-1))["d"]
+    crowded = graph.filter((F.col("k") > NEIGHBOURS) | (last <= -threshold)).select(F.col("id").alias("node"))
+    crowded = stored(crowded.join(comp, "node").select(F.col("node").alias("id"), "component"), "crowded")
+    if crowded.select("component").distinct().limit(2).count() < 2:
+        return comp
+    sizes = stored(crowded.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks")), "sizes")
+    placed = crowded.join(sizes, "component").select("id", "component", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("part"))
+    covers = _groupwise(placed.join(vectors.select("id", "v"), "id"), ["component", "part"], ["id", "v"], _cover, "id long, leader long, sim double")
+    covers = stored(covers, "covers")
+    leaders = covers.groupBy("leader").agg(F.min("sim").alias("reach")).withColumnRenamed("leader", "id")
+    leaders = stored(leaders.join(crowded, "id"), "leaders")
+    blocks = -(-leaders.count() // BLOCK)
+    grid = leaders.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    grid = grid.withColumn("r", F.least("own", "other")).withColumn("c", F.greatest("own", "other"))
+    widest = np.arccos(min(1.0, threshold))
+
+    def compare(c: dict) -> tuple:
+        ids, group, reach = c["id"], c["component"], np.arccos(c["reach"])
+        first = c["own"] == c["own"].min()
+        left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        if not len(right):  # a block with itself, or one whose partner is empty
+            right = left
+        s = np.round(c["v"][left] @ c["v"][right].T, 12)
+        angle = np.arccos(np.clip(s, -1.0, 1.0))
+        i, j = np.nonzero((angle <= widest + reach[left][:, None] + reach[right][None, :] + 1e-6) & (group[left][:, None] < group[right][None, :]))
+        if len(left) and right is not left:
+            x, y = np.nonzero((angle <= widest + reach[left][:, None] + reach[right][None, :] + 1e-6) & (group[left][:, None] > group[right][None, :]))
+            i, j = np.r_[i, x], np.r_[j, y]
+        a, b = left[i], right[j]
+        return ids[a], ids[b], group[a], group[b], s[i, j] >= threshold
+
+    found = _groupwise(grid.join(vectors.select("id", "v"), "id"), ["r", "c"], ["id", "component", "reach", "own", "v"], compare, "a long, b long, ca long, cb long, sure boolean")
+    found = stored(found, "leader_pairs")
+    sure = found.filter("sure").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    comp = _joined(comp, sure)
+    # pairs of leaders that may have linked members, if their components are still apart
+    root = comp.select(F.col("node").alias("ca"), F.col("component").alias("ra"))
+    open_ = found.filter("NOT sure").join(root, "ca").join(root.select(F.col("ca").alias("cb"), F.col("ra").alias("rb")), "cb").filter("ra <> rb").select("a", "b", "ra", "rb")
+    open_ = stored(open_, "open_pairs")
+    sides = open_.select("*", F.col("a").alias("leader"), F.lit(0).alias("side")).unionByName(open_.select("*", F.col("b").alias("leader"), F.lit(1).alias("side")))
+
+    def meet(c: dict) -> tuple:
+        left = c["side"] == 0
+        hit = bool((np.round(c["v"][left] @ c["v"][~left].T, 12) >= threshold).any())
+        return c["ra"][:hit], c["rb"][:hit]
+
+    members = sides.join(covers.select("leader", "id"), "leader").join(vectors.select("id", "v"), "id")
+    members = members.withColumn("p", F.col("a")).withColumn("q", F.col("b"))
+    return _joined(comp, _groupwise(members, ["p", "q"], ["ra", "rb", "side", "v"], meet, "a long, b long").distinct())
+
+
 def _recall(vectors: DataFrame, comp: DataFrame, threshold: float) -> tuple[int, int]:
     """Links of `AUDIT` vectors chosen by a hash, found against all vectors in
     blocks: how many there are, and how many join vectors of one component."""
@@ -192,20 +280,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
     than the most frequent one are an error. Repeated keys are one vector, the smallest. Other
     columns are ignored. The measured recall, sampled against brute force, has to
     reach `recall` in four descents, otherwise this raises."""
-    usable = stored(unit_vectors(vectors, key, vector).groupBy("id").agg(F.min("v").alias("v")), "unit")
-    shape = usable.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count")).limit(2).collect()
+    rows = stored(unit_vectors(vectors, key, vector).groupBy("id").agg(F.min("v").alias("v")), "unit")
+    shape = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count")).limit(2).collect()
     if len(shape) > 1:
         raise ValueError("vectors differ in length")
     out = vectors.select(F.col(key).cast("long").alias("id"))
     if not shape:
         comp, links = None, None
     else:
-        graph = None
+        usable, named = _collapse(rows)
+        graph, count = None, usable.count()
         for round_ in range(4):
-            graph = descend(usable, threshold, graph, round_, shape[0]["count"], shape[0]["dim"])
+            graph = descend(usable, threshold, graph, round_, count, shape[0]["dim"])
             edges = graph.select(F.col("id").alias("a"), F.explode("near").alias("e")).filter(F.col("e.d") <= -threshold)
             edges = stored(edges.select("a", F.col("e.nbr").alias("b")), "links")
-            comp = stored(components(edges), "components")
+            comp = _cross(usable, graph, stored(components(edges), "components"), threshold)
             there, hit = _recall(usable, comp, threshold)
             if hit >= recall * there:
                 break
@@ -214,14 +303,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
         links = _count_links(usable, comp, threshold)
     if comp is None:
         return out.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    joined = out.join(comp.withColumnRenamed("node", "id"), "id", "left").join(links, "id", "left")
-    component = F.coalesce("component", "id")
-    return joined.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    joined = out.join(named, "id", "left").join(comp, "node", "left").join(links.withColumnRenamed("id", "node"), "node", "left")
+    component = F.coalesce("component", "node", "id")
+    return joined.select(F.col("id").alias(key), F.coalesce("n_links", F.col("w") - 1, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
 def _count_links(vectors: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
-    """(id, n_links): links of every vector inside its component, over a grid of
-    blocks. A task compares two blocks at most and returns counts."""
+    """(id, n_links): links of every vector inside its component, copies counted,
+    over a grid of blocks. A task compares two blocks at most and returns counts."""
     sizes = stored(comp.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "sizes")
     placed = stored(comp.withColumnRenamed("node", "id").join(sizes, "component"), "placed")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
@@ -229,14 +318,16 @@ def _count_links(vectors: DataFrame, comp: DataFrame, threshold: float) -> DataF
     grid = grid.select("id", "component", "own", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"))
 
     def count(c: dict) -> tuple:
-        ids, side, v = c["id"], c["own"], c["v"]
+        ids, side, v, w = c["id"], c["own"], c["v"], c["w"]
         if side.min() == side.max():
-            hit = (np.round(v @ v.T, 12) >= threshold).sum(axis=1) - 1 if c["row"][0] == c["col"][0] else np.zeros(len(ids), np.int64)
+            near = np.round(v @ v.T, 12) >= threshold
+            np.fill_diagonal(near, True)
+            hit = near @ w - 1 if c["row"][0] == c["col"][0] else np.zeros(len(ids), np.int64)
             return ids, hit.astype(np.int64)
         left = side == c["row"][0]
         hit = np.round(v[left] @ v[~left].T, 12) >= threshold
-        return np.r_[ids[left], ids[~left]], np.r_[hit.sum(axis=1), hit.sum(axis=0)].astype(np.int64)
+        return np.r_[ids[left], ids[~left]], np.r_[hit @ w[~left], w[left] @ hit].astype(np.int64)
 
     parts = grid.join(vectors, "id").withColumn("r", F.col("row")).withColumn("c", F.col("col"))
-    counted = _groupwise(parts, ["component", "r", "c"], ["id", "own", "row", "col", "v"], count, "id long, n long")
+    counted = _groupwise(parts, ["component", "r", "c"], ["id", "own", "row", "col", "v", "w"], count, "id long, n long")
     return counted.groupBy("id").agg(F.sum("n").cast("long").alias("n_links"))

@@ -243,6 +243,29 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert got == want | {k: (0, k, True) for k, _, _ in odd}
 
 
+def test_vectors_link_groups_larger_than_the_lists(spark):
+    """Groups of 100 at cosine 0.92: no list of 64 leaves its group. In the last
+    two only the outermost vectors are linked, not the leaders."""
+    rng, eye, rows = np.random.default_rng(8), np.eye(16), []
+
+    def group(centre, n, noise):
+        for _ in range(n):
+            v = centre + noise * rng.standard_normal(16)
+            rows.append((len(rows), v.tolist(), 1))
+
+    beside = 0.92 * eye[0] + np.sqrt(1 - 0.92**2) * eye[1]
+    group(eye[0], 100, 1e-4), group(beside, 100, 1e-4)
+    group(eye[4], 100, 0), group(0.92 * eye[4] + np.sqrt(1 - 0.92**2) * eye[5], 100, 0)
+    for turn in (0.0, 0.53):  # two arcs of 0.1, between 0.43 and 0.63 apart; 0.451 is the angle of the threshold
+        for at in np.linspace(turn, turn + 0.1, 100):
+            group(np.cos(at) * eye[8] + np.sin(at) * eye[9], 1, 0)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, component int").repartition(5)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding.near_duplicates(df).collect()}
+    want = brute_links(rows)
+    assert {c for _, c in want.values()} == {0, 200, 400}
+    assert got == {k: (n, c, c == k) for k, (n, c) in want.items()}
+
+
 def test_vectors_empty_and_all_unusable(spark):
     df = spark.createDataFrame([(1, None), (2, [0.0, 0.0])], "vec_id long, embedding array<double>")
     assert sorted(tuple(r) for r in embedding.near_duplicates(df).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
