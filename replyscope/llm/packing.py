@@ -11,10 +11,12 @@ piece finds its place from its length and its rank among equal lengths."""
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -31,24 +33,33 @@ SPREAD = 1024  # hash ranges that equal lengths are dealt over to be ranked
 
 @lru_cache(maxsize=2)
 def encoder(ranks_file: str):
-    """Byte-level BPE of a rank file; one per Python worker."""
+    """Byte-level BPE of a rank file, with the added tokens of the `tokenizers` file
+    beside it, if there is one; one per Python worker."""
     import public_tokenizers
     import tiktoken
 
     with open(ranks_file, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added, beside = {}, os.path.splitext(ranks_file)[0] + ".json"
+    if os.path.exists(beside):
+        with open(beside, "rb") as source:
+            tokens = json.load(source)["added_tokens"]
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+            raise ValueError(f"{beside}: added tokens that look at their neighbours")
+        added = {t["content"]: t["id"] for t in tokens}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 def pieces(docs: DataFrame, ranks_file: str, max_tokens: int = MAX_TOKENS, keep_ids: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, piece, start, length, ids_crc32[, ids]): every document's token ids
     and the end id, cut into pieces of `max_tokens` counted from the end, so that
-    only the first piece is shorter. A null text is an empty one: the end id alone.
+    only the first piece is shorter. Ids are those of `tokenizers`: an added token
+    such as <|endoftext|> in a text is one id. A null text is an empty one: the end id alone.
     Repeated rows and null keys are documents of their own. `ids_crc32` is the
     unsigned crc32 of the piece's ids as little-endian 32-bit numbers."""
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
-        encode = encoder(ranks_file).encode_ordinary
+        encode = partial(encoder(ranks_file).encode, allowed_special="all")
         for part in parts:
             out = defaultdict(list)
             for name, body in zip(part["key"], part["text"]):

@@ -51,6 +51,14 @@ def check_layout(rows, limit):
     return len(places)
 
 
+def test_packing_keeps_added_tokens(spark):
+    rows = [(1, "one <|endoftext|> two"), (2, "<|endoftext|><|endoftext|>x"), (3, "a <|endoftext|"), (4, " \n<|endoftext|>\n ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.pieces(df, RANKS, keep_ids=True).collect()
+    want = {k: [*byte_bpe().encode(text, add_special_tokens=False).ids, packing.END] for k, text in rows}
+    assert {r["key"]: r["ids"] for r in got} == want and want[1][:-1] == [505, 220, 50256, 734]
+
+
 @pytest.mark.parametrize("limit", [2048, 64])
 def test_packing_equals_the_tokenizer_and_has_no_gaps(spark, limit):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
