@@ -22,6 +22,7 @@ MIN_CHARS = 200  # code points below which classes are not compared
 MIN_WORDS = 50  # words below which words are not compared
 MAX_CLASS_DISTANCE = 0.34
 MAX_WORD_DISTANCE = 0.5
+MAX_WORD_SHARE = 0.9  # of the distance of a text without a common word
 MIN_TOTAL = 20  # words
 MAX_REPEATED = 30  # percent of words in repeated windows
 FLUSH = 200_000  # distinct words of a task after which its counts are passed on
@@ -115,6 +116,17 @@ def distances(counts: np.ndarray, words: list[bytes], reference: Reference, min_
     return by_class, jensen_shannon(np.array(own, float), common)
 
 
+def word_limit(reference: Reference, most: float = MAX_WORD_DISTANCE, share: float = MAX_WORD_SHARE) -> float:
+    """The largest word distance of a text that is kept: `share` of the distance of
+    a text without any common word, `most` if that is less. Without common words
+    in the reference there is nothing to miss, and `most` holds."""
+    common = reference[2]
+    nothing = np.zeros(len(common))
+    nothing[-1] = 1
+    bare = jensen_shannon(nothing, common)
+    return min(most, share * bare) if bare > 0 else most
+
+
 def judge(
     docs: DataFrame,
     found: dict[str | None, Reference],
@@ -126,7 +138,8 @@ def judge(
     """`docs` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, class_distance, word_distance and kept. base_failed: fewer than 20
     words, or more than 30 percent of them in repeated 8-word windows. kept: the
-    base rules hold and no distance exceeds its limit. A null text is an empty one
+    base rules hold and no distance exceeds its limit; that of words is at most
+    `max_word`, and lower where the reference asks for it (`word_limit`). A null text is an empty one
     and fails; a null or unknown language is compared with all documents together;
     a distance of a text too short for it is null and never rejects. Whole texts
     are read, repeated rows judged alike; earlier columns of these names are
@@ -138,13 +151,15 @@ def judge(
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
         known = shared.value
+        limits = {name: word_limit(reference, max_word) for name, reference in known.items()}
         for part in parts:
             out = {name: [] for name in new}
             for name, body in zip(part["_lang"], part["_text"]):
                 counts, words, base = base_statistics(body)
                 failed = base["n_words"] < MIN_TOTAL or 100 * base["n_repeat_words"] > MAX_REPEATED * base["n_words"]
-                by_class, by_word = distances(counts, words, known.get(name) or known.get(None) or empty)
-                fine = not failed and (by_class or 0.0) <= max_class and (by_word or 0.0) <= max_word
+                own = name if known.get(name) else None
+                by_class, by_word = distances(counts, words, known.get(own) or empty)
+                fine = not failed and (by_class or 0.0) <= max_class and (by_word or 0.0) <= limits.get(own, max_word)
                 row = base | {"base_failed": failed, "class_distance": by_class, "word_distance": by_word, "kept": fine}
                 for column in new:
                     out[column].append(row[column])

@@ -152,3 +152,19 @@ def test_quality_rules_reject_junk_and_keep_prose(spark):
     out = quality_rules.judge(docs, quality_rules.references(docs)).filter("NOT base_failed").join(labels, "doc_id")
     rates = {r["quality"]: r["kept"] for r in out.groupBy("quality").agg(F.avg(F.col("kept").cast("double")).alias("kept")).collect()}
     assert rates[1] > 0.98 and rates[0] < 0.2
+
+
+def test_word_rule_rejects_other_languages_and_gibberish(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1")
+    found = quality_rules.references(docs)
+    good = docs.join(labels, "doc_id").select("doc_id", "text", "lang")
+    good = quality_rules.judge(good, found).filter("kept AND n_words >= 50").select("doc_id", "text", "lang").collect()
+    rng, letters = random.Random(5), "abcdefghijklmnopqrstuvwxyz"
+    swapped = [(1, r["text"], "en" if r["lang"] != "en" else "de") for r in good]
+    noise = [(2, " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(200)), lang) for lang in ("en", "de", "fr", "es")]
+    out = quality_rules.judge(spark.createDataFrame(swapped + noise, "doc_id long, text string, lang string"), found)
+    limits = {name: quality_rules.word_limit(reference) for name, reference in found.items()}
+    rejected = [(r["doc_id"], r["word_distance"] > limits[r["lang"]]) for r in out.collect()]
+    assert all(bad for k, bad in rejected if k == 2)
+    assert sum(bad for k, bad in rejected if k == 1) > 0.95 * len(swapped)
