@@ -29,12 +29,16 @@ from replyscope.llm.components import components
 
 THRESHOLD = 0.9
 NEIGHBOURS = 8
-TABLES = 10  # bucket tables drawn at a time
+TABLES = 10  # bucket tables drawn at a time, and the fewest of a descent
 BUCKET = 96  # vectors compared in one bucket
 ROUNDS = 8
 SETTLED = 0.002  # share of changed entries that ends the descent
 RECALL = 0.99
-AUDIT = 256  # vectors compared with all others
+START = 0.95  # chance that a pair at the threshold shares one of the buckets of a descent
+FINER = 12  # further bits that divide buckets above `BUCKET`
+AUDIT = 256  # vectors compared with all others at first
+AUDIT_MOST = 16_384  # and at most
+AUDITED = 64  # vectors with few links that the audit looks for
 BLOCK = 1_024  # vectors of a component's block
 LONGEST = 64  # neighbours that a saturated list grows to before its component is counted in blocks
 COVER = 0.99  # cosine of a leader to the nodes it stands for
@@ -94,24 +98,39 @@ def _groupwise(df: DataFrame, group: list[str], columns: list[str], fn, schema:
     return df.select(*group, *columns).groupBy(*group).applyInArrow(run, schema)
 
 
-def _buckets(vectors: DataFrame, count: int, dim: int, round_: int, tables: int) -> DataFrame:
-    """(table, bucket, id, v, k, floor): every vector in one bucket of every table.
-    Buckets larger than `BUCKET` are dealt by a hash of the id."""
-    bits = max(1, min(40, int(np.ceil(np.log2(max(count / (BUCKET / 2), 1))))))
-    planes = np.random.default_rng(1000 + round_).standard_normal((tables, dim, bits))
+def _bits(count: int) -> int:
+    return max(1, min(40, int(np.ceil(np.log2(max(count / (BUCKET / 2), 1))))))
+
+
+def tables_needed(count: int, threshold: float) -> int:
+    """Tables in one of which a pair at the threshold shares a bucket with chance `START`."""
+    shared = (1 - np.arccos(np.clip(threshold, -1.0, 1.0)) / np.pi) ** _bits(count)
+    return TABLES if shared >= 1 else max(TABLES, int(np.ceil(np.log(1 - START) / np.log1p(-shared))))
+
+
+def _buckets(vectors: DataFrame, count: int, dim: int, seed: int, tables: int) -> DataFrame:
+    """(table, code, fine, part, id, v): every vector in one bucket of every table.
+    Buckets larger than `BUCKET` are divided by further hyperplanes, and what is
+    still larger, as copies are, is dealt by a hash of the id."""
+    bits = _bits(count)
+    planes = np.random.default_rng(seed).standard_normal((tables, dim, bits + FINER))
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
         for part in parts:
             if part["id"]:
                 v = np.array(part["v"])
-                codes = np.stack([((v @ p > 0) @ (1 << np.arange(bits))).astype(np.int64) for p in planes], axis=1)
+                codes = np.stack([((v @ p > 0) @ (1 << np.arange(bits + FINER))).astype(np.int64) for p in planes], axis=1)
                 yield {"id": part["id"], "codes": list(codes)}
 
     codes = map_batches(vectors.select("id", "v"), run, "id long, codes array<long>")
-    coded = stored(codes.select("id", F.posexplode("codes").alias("table", "code")), "codes")
-    sizes = stored(coded.groupBy("table", "code").agg(F.count(F.lit(1)).alias("n")), "code_sizes")
+    coded = codes.select("id", F.posexplode("codes").alias("table", "all"))
+    coded = stored(coded.select("id", "table", F.expr(f"all & {(1 << bits) - 1}L").alias("code"), F.shiftright("all", bits).alias("rest")), "codes")
+    sizes = coded.groupBy("table", "code").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stored(sizes.select("table", "code", F.least(F.ceil(F.log2(F.greatest(F.col("n") / BUCKET, F.lit(1.0)))), F.lit(FINER)).cast("int").alias("more")), "code_sizes")
+    fine = stored(coded.join(sizes, ["table", "code"]).select("id", "table", "code", F.expr("rest & (shiftleft(1L, more) - 1L)").alias("fine")), "codes")
+    sizes = stored(fine.groupBy("table", "code", "fine").agg(F.count(F.lit(1)).alias("n")), "code_sizes")
     deal = F.pmod(F.xxhash64("id", "table"), F.ceil(F.col("n") / BUCKET)).cast("long")
-    placed = coded.join(sizes, ["table", "code"]).select("id", "table", "code", deal.alias("part"))
+    placed = fine.join(sizes, ["table", "code", "fine"]).select("id", "table", "code", "fine", deal.alias("part"))
     return placed.join(vectors, "id")
 
 
@@ -133,8 +152,12 @@ def descend(vectors: DataFrame, threshold: float, graph: DataFrame | None, round
         n = len(c["id"])
         return _best(c["id"], c["v"], np.full(n, NEIGHBOURS), np.full(n, -2.0))
 
-    start = _groupwise(_buckets(vectors, count, dim, round_, TABLES), ["table", "code", "part"], ["id", "v"], in_bucket, "id long, nbr long, sim double")
-    graph = stored(_merge(graph, start, lists), "graph")
+    left, seed = tables_needed(count, threshold), 1000 + round_
+    while left > 0:
+        buckets = _buckets(vectors, count, dim, seed, min(left, TABLES))
+        start = _groupwise(buckets, ["table", "code", "fine", "part"], ["id", "v"], in_bucket, "id long, nbr long, sim double")
+        graph = stored(_merge(graph, start, lists), "graph")
+        left, seed = left - TABLES, seed + 1000
     for _ in range(ROUNDS):
         full = F.size("near") >= F.col("k")
         saturated = full & (F.try_element_at("near", F.lit(-1))["d"] <= -threshold) & (F.col("k") < LONGEST)
@@ -248,26 +271,42 @@ def _cross(vectors: DataFrame, graph: DataFrame, comp: DataFrame, threshold: flo
     return _joined(comp, _groupwise(members, ["p", "q"], ["ra", "rb", "side", "v"], meet, "a long, b long").distinct())
 
 
-def _recall(vectors: DataFrame, comp: DataFrame, threshold: float) -> tuple[int, int]:
-    """Links of `AUDIT` vectors chosen by a hash, found against all vectors in
-    blocks: how many there are, and how many join vectors of one component."""
-    chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(AUDIT).collect()  # a bounded sample
-    if not chosen:
-        return 0, 0
-    ids, q = np.array([r["id"] for r in chosen]), np.array([r["v"] for r in chosen])
-
-    def run(parts: Iterator[dict]) -> Iterator[dict]:
-        for part in parts:
-            if part["id"]:
-                own = np.array(part["id"])
-                i, j = np.nonzero((np.array(part["v"]) @ q.T >= threshold) & (own[:, None] != ids[None, :]))
-                yield {"a": own[i], "b": ids[j]}
-
-    links = map_batches(vectors.select("id", "v"), run, "a long, b long")
-    c = comp.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    joined = links.join(c, "a", "left").join(c.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b", "left")
-    row = joined.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ca") == F.col("cb")).alias("hit")).first()
-    return row["n"], row["hit"]
+def _recall(vectors: DataFrame, comp: DataFrame, threshold: float, count: int) -> float:
+    """The share of a vector's links that join vectors of one component, averaged
+    over vectors chosen by a hash and compared with all others. Vectors of fewer than
+    `LONGEST` links and of more are averaged apart, and the lower mean counts, so
+    that large groups do not hide small ones. The sample grows with the root of the
+    table, and on until `AUDITED` vectors with few links are seen, all vectors, or
+    `AUDIT_MOST`; without any link the recall is 1. Only counts leave a task."""
+    named = vectors.select("id", "v").join(comp.withColumnRenamed("node", "id"), "id", "left")
+    named = stored(named.select("id", "v", F.coalesce("component", "id").alias("component")), "audited")
+    size = max(AUDIT, int(np.sqrt(count)))
+    while True:
+        size = min(size, count, AUDIT_MOST)
+        span = 1 << 40
+        chosen = named.filter(F.pmod(F.xxhash64("id"), F.lit(span)) < F.lit(-(-span * size // count))).collect()  # a bounded sample
+        small = large = np.zeros(0)
+        if chosen:
+            ids, group = np.array([r["id"] for r in chosen]), np.array([r["component"] for r in chosen])
+            q = vectors.sparkSession.sparkContext.broadcast(np.array([r["v"] for r in chosen]))
+
+            def run(parts: Iterator[dict]) -> Iterator[dict]:
+                there, hit = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+                for part in parts:
+                    if part["id"]:
+                        link = np.round(np.array(part["v"]) @ q.value.T, 12) >= threshold
+                        link &= np.array(part["id"])[:, None] != ids[None, :]
+                        there += link.sum(axis=0)
+                        hit += (link & (np.array(part["component"])[:, None] == group[None, :])).sum(axis=0)
+                some = np.flatnonzero(there)
+                yield {"id": ids[some], "there": there[some], "hit": hit[some]}
+
+            sums = map_batches(named, run, "id long, there long, hit long").groupBy("id").agg(F.sum("there").alias("there"), F.sum("hit").alias("hit")).collect()
+            there, share = np.array([r["there"] for r in sums]), np.array([r["hit"] / r["there"] for r in sums])
+            small, large = share[there < LONGEST], share[there >= LONGEST]
+        if len(small) >= AUDITED or size >= min(count, AUDIT_MOST):
+            return float(min(x.mean() if len(x) else 1.0 for x in (small, large)))
+        size *= 4
 
 
 @own_scratch
@@ -295,11 +334,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
             edges = graph.select(F.col("id").alias("a"), F.explode("near").alias("e")).filter(F.col("e.d") <= -threshold)
             edges = stored(edges.select("a", F.col("e.nbr").alias("b")), "links")
             comp = _cross(usable, graph, stored(components(edges), "components"), threshold)
-            there, hit = _recall(usable, comp, threshold)
-            if hit >= recall * there:
+            found = _recall(usable, comp, threshold, count)
+            if found >= recall:
                 break
         else:
-            raise RuntimeError(f"recall {hit} of {there} audited links")
+            raise RuntimeError(f"recall {found} of the audited vectors' links")
         links = _count_links(usable, comp, threshold)
     if comp is None:
         return out.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))

@@ -274,6 +274,28 @@ def test_vectors_link_groups_larger_than_the_lists(spark):
     assert got == {k: (n, c, c == k) for k, (n, c) in want.items()}
 
 
+def test_vectors_audit_sees_lost_pairs_beside_a_large_group(spark):
+    rng = np.random.default_rng(2)
+    group = [np.eye(64)[0] + 1e-3 * rng.standard_normal(64) for _ in range(400)]
+    pairs = [x for c in rng.standard_normal((60, 64)) for x in (c, c + 1e-3 * rng.standard_normal(64))]
+    rows = [(i, (x / np.linalg.norm(x)).tolist()) for i, x in enumerate([*group, *pairs])]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
+    right = [(i, 0 if i < 400 else i - i % 2) for i, _ in rows]
+
+    def audit(comp):
+        return embedding._recall(df, spark.createDataFrame(comp, "node long, component long"), 0.9, len(rows))
+
+    assert audit(right) == 1.0
+    assert audit(right[:400]) == 0.0
+    assert audit(right[:490]) < 0.9
+
+
+def test_vectors_start_does_not_weaken_with_size():
+    for count in (10**3, 10**5, 10**7, 10**8):
+        shared = (1 - np.arccos(0.9) / np.pi) ** embedding._bits(count)
+        assert 1 - (1 - shared) ** embedding.tables_needed(count, 0.9) >= 0.95
+
+
 def test_vectors_empty_and_all_unusable(spark):
     df = spark.createDataFrame([(1, None), (2, [0.0, 0.0])], "vec_id long, embedding array<double>")
     assert sorted(tuple(r) for r in embedding.near_duplicates(df).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
