@@ -122,3 +122,59 @@ def sha1_base32(payload):
     import base64
 
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
+def regrow(rows, grafts=6, family=100):
+    """{conv: [(role, text)]} of (conv, turn, role, text) rows, with shared beginnings."""
+    import zlib
+
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    h = {c: zlib.crc32(str(c).encode()) % grafts for c in own}
+    return {c: own.get(c - c % family, [])[: h[c]] + turns[h[c] :] for c, turns in own.items()}
+
+
+def trie(conversations):
+    """Rows of the prefix trie of {conv: [turn]}, a turn's last field being its text."""
+    members, ends = defaultdict(list), defaultdict(list)
+    for conv, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(conv)
+        ends[tuple(turns)].append(conv)
+    kids = defaultdict(set)
+    for node in members:
+        if node:
+            kids[node[:-1]].add(node)
+    sums = {}
+    for node in sorted(members, key=len, reverse=True):
+        saved = (len(members[node]) - 1) * len(node[-1][-1]) if node else 0
+        sums[node] = (sum(sums[k][0] for k in kids[node]) or 1, saved + sum(sums[k][1] for k in kids[node]))
+    return [
+        (min(m), len(node), min(members[node[:-1]]) if node else None, len(m), len(kids[node]), *sums[node],
+         hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest())
+        for node, m in members.items()
+    ]
+
+
+def search(docs, items, k=10):
+    """{item row: [(rank, doc, score)]} for every item, scoring every document."""
+    import math
+
+    terms = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower((t or "").encode()).decode())
+    counts = [(doc, Counter(terms(text))) for doc, text in docs]
+    n_docs, n_terms = sum(bool(c) for _, c in counts), sum(c.total() for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in items:
+        asked, scores = Counter(terms(text)), []
+        for doc, c in counts:
+            if c:
+                m = 25 + (75 * c.total() * n_docs) // n_terms
+                score = sum(r * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m)) for t, r in asked.items() if c[t])
+                if score > 0:
+                    scores.append((-score, doc is None, doc or 0, doc))
+        out += [(item, i, s[3], -s[0]) for i, s in enumerate(sorted(scores)[:k], 1)]
+    return out
