@@ -5,6 +5,8 @@ cuts exactly there, and no UTF-8 sequence contains those bytes."""
 
 from __future__ import annotations
 
+import functools
+import inspect
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -19,7 +21,7 @@ from replyscope.session import cut_lineage as stored
 from replyscope.session import own_scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH_ROWS = 128  # texts may be long: a batch stays small whatever the default is
+BATCH_ROWS = 128  # rows that are Python objects at the same time
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be inverted
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -34,8 +36,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[dict]], Iterable[dict]], schema: str) -> DataFrame:
     """mapInArrow with plain columns: `fn` gets dicts of Python lists and yields
-    dicts of lists or arrays, one per output batch, in the order of `schema`."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    dicts of lists or arrays, one per output batch, in the order of `schema`. Spark
+    bounds the bytes of a batch; here it is cut into few rows, since texts may be long."""
     fields = T._parse_datatype_string(schema)
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -54,6 +56,35 @@ def _cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, BATCH_ROWS)
 
 
+def own_names(*replaced: str) -> Callable:
+    """For operators that give the columns of their first argument back: under way
+    all of these have names of their own, so that no column clashes with one that the
+    operator makes. Columns `replaced` are dropped first; options that name a column
+    still find it."""
+
+    def wrap(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        signature = inspect.signature(fn)
+
+        @functools.wraps(fn)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            given = signature.bind(docs, *args, **options)
+            given.apply_defaults()
+            named = {v for v in given.arguments.values() if isinstance(v, str)}
+            docs = docs.drop(*[c for c in docs.columns if c in replaced and c not in named])
+            plain = {c: f"column {i}" for i, c in enumerate(docs.columns)}
+            for option, value in given.arguments.items():
+                if isinstance(value, str):
+                    given.arguments[option] = plain.get(value, value)
+            given.arguments[next(iter(signature.parameters))] = docs.toDF(*plain.values())
+            out = fn(*given.args, **given.kwargs)
+            back = {new: c for c, new in plain.items()}
+            return out.toDF(*[back.get(c, c) for c in out.columns])
+
+        return run
+
+    return wrap
+
+
 def as_bytes(text: str = "text") -> Column:
     """UTF-8 bytes of a text column; they cross to Python without decoding."""
     return F.col(text).cast("string").cast("binary")

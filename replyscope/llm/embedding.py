@@ -315,19 +315,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
     cosine at or above the threshold.
 
     Vectors that are null, zero, or hold null or non-finite components, and rows
-    with a null key, are linked with nothing and kept. Vectors of another length
-    than the most frequent one are an error. Repeated keys are one vector, the smallest. Other
+    with a null key, are linked with nothing and kept; so are vectors of another length
+    than the most frequent one (of equally frequent ones, the shortest). Repeated keys are one vector, the smallest. Other
     columns are ignored. The measured recall, sampled against brute force, has to
     reach `recall` in four descents, otherwise this raises."""
     rows = stored(unit_vectors(vectors, key, vector).groupBy("id").agg(F.min("v").alias("v")), "unit")
-    shape = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count")).limit(2).collect()
-    if len(shape) > 1:
-        raise ValueError("vectors differ in length")
+    shape = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
     out = vectors.select(F.col(key).cast("long").alias("id"))
     if not shape:
         comp, links = None, None
     else:
-        usable, named = _collapse(rows)
+        usable, named = _collapse(rows.filter(F.size("v") == shape[0]["dim"]))
         graph, count = None, usable.count()
         for round_ in range(4):
             graph = descend(usable, threshold, graph, round_, count, shape[0]["dim"])

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import map_batches
+from replyscope.llm.common import map_batches, own_names
 
 COUNTERS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -79,6 +79,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, lang: str = "lang", text: str =
 
     counted = map_batches(rows.filter(part).select(F.col(lang).alias("lang"), F.col(text).alias("text")), count, "language int, counter int, n long")
     total = np.zeros((len(languages), COUNTERS))
+    counted = counted.groupBy("language", "counter").agg(F.sum("n").alias("n"))  # at most COUNTERS rows a language
     for r in counted.groupBy("language").agg(F.collect_list(F.struct("counter", "n")).alias("cells")).toLocalIterator():
         np.add.at(total[r["language"]], [c["counter"] for c in r["cells"]], [c["n"] for c in r["cells"]])
     smooth = total + SMOOTHING
@@ -91,6 +92,7 @@ def has_letter(text: str = "text") -> Column:
     return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
 
 
+@own_names("lang_pred", "score")
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """`docs` with lang_pred and score, the posterior probability of the language.
     A text that is null or has no letter, and every text if the model knows no

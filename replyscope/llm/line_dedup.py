@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import WORD, stored
+from replyscope.llm.common import WORD, own_names, stored
 
 RATIO = 0.1
 MIN_PAGES = 5  # a line has to be on so many pages of the host
@@ -21,6 +21,12 @@ def line_key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit("line"), line).alias("b"))
 
 
+def host_of(url: str) -> Column:
+    """The host of an address, in lower case; null for what is no address. Pages that
+    carry one are grouped by it: drop_boilerplate(pages.withColumn("host", host_of("url")), host="host", text="html")."""
+    return F.lower(F.try_parse_url(F.col(url), F.lit("HOST")))
+
+
 def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, host: str = "source", text: str = "text") -> DataFrame:
     """(host, lines): the keys of the lines with a word that occur on more than
     `ratio` of the host's pages and on `min_pages` at least. A page counts once for
@@ -37,6 +43,7 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
     return often.groupBy("host").agg(F.collect_list("line").alias("lines"))
 
 
+@own_names("n_lines", "n_removed")
 def drop_boilerplate(
     pages: DataFrame,
     ratio: float = RATIO,

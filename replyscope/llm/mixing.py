@@ -13,20 +13,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import stored, word_count
+from replyscope.llm.common import own_names, stored, word_count
 from replyscope.operators.ordering import dense_positions
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 CAP = 2.0
 SEED = 7
-LARGEST_SUM = 65_536  # remaining budget that dynamic programming solves
+LARGEST_SUM = 65_536  # remaining budget that dynamic programming solves, or four of the longest document if that is more
 GROUP = ["source_null", "source_name"]
 
 
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray:
     """How many documents of each length to take so that their total length comes
-    nearest to the budget that the method finds; at most counts[i] of lengths[i]."""
+    nearest to the budget that the method finds; at most counts[i] of lengths[i].
+
+    Shares and remainders are taken until a rest is left that several documents of any
+    length fit into; dynamic programming always solves that rest whole."""
+    room = max(LARGEST_SUM, 4 * int(lengths.max(initial=0)))
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
@@ -35,22 +39,21 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: float) -> np.nda
     take[lengths == 0] = 0
     rest = budget - float((take * lengths).sum())
     for i in np.lexsort((lengths, -(share - take))):  # largest remainders first
-        if rest <= LARGEST_SUM:
+        if rest <= room:
             break
         if 0 < lengths[i] <= rest and take[i] < counts[i]:
             take[i] += 1
             rest -= int(lengths[i])
     for i in np.argsort(-lengths, kind="stable"):  # until the rest is small enough to be solved
-        if rest <= LARGEST_SUM:
+        if rest <= room:
             break
         if lengths[i] > 0:
-            more = min(int(counts[i] - take[i]), int(rest // lengths[i]))
+            more = min(int(counts[i] - take[i]), int((rest - room) // lengths[i]) + 1)
             take[i] += more
             rest -= more * int(lengths[i])
-    if rest <= LARGEST_SUM:
-        extra = subset_sum(lengths, counts - take, int(rest))
-        take += extra
-        rest -= float((extra * lengths).sum())
+    extra = subset_sum(lengths, counts - take, int(rest))
+    take += extra
+    rest -= float((extra * lengths).sum())
     free = np.flatnonzero((take < counts) & (lengths > 0))
     if len(free):
         i = free[lengths[free].argmin()]
@@ -65,7 +68,7 @@ def subset_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     take = np.zeros(len(lengths), np.int64)
     if budget <= 0:
         return take
-    reached = np.full(budget + 1, -1, np.int64)  # the chunk that first reached a sum
+    reached = np.full(budget + 1, -1, np.int32)  # the chunk that first reached a sum
     reached[0] = 0
     chunks: list[tuple[int, int]] = [(-1, 0)]
     for i in np.argsort(-lengths, kind="stable"):
@@ -165,10 +168,21 @@ def mix_plan(
     return both.select(F.col("key").alias(key), "row_a", "row_b", "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
-def mix(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
-    """The mixed documents: rows of `docs`, each as often as the plan takes it."""
+@own_names()
+def mix(
+    docs: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    share: float = SHARE,
+    cap: float = CAP,
+    seed: int = SEED,
+    key: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+) -> DataFrame:
+    """The mixed documents: rows of `docs`, all columns whatever their names, each as
+    often as the plan takes it."""
     row_a, row_b = row_identity(docs)
-    plan = mix_plan(docs, seed=seed, **options)
+    plan = mix_plan(docs, weights, share, cap, seed, key, source, text)
     total = plan.groupBy("row_a", "row_b").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
     total = stored(total.filter("_copies > 0"), "copies")
     marked = docs.withColumn("row_a", row_a).withColumn("row_b", row_b).join(total, ["row_a", "row_b"])

@@ -13,10 +13,11 @@ from __future__ import annotations
 import base64
 import json
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -28,6 +29,8 @@ MAX_TOKENS = 2048
 CLASSES = 64  # length classes of the pattern search
 DEPTH = 4  # documents in a pattern
 END = 0  # id behind every document
+#: A run of blanks that the splitting pattern of `tiktoken` may give up on.
+_LONG_GAP = re.compile(r"\s{1000}")
 SPREAD = 1024  # hash ranges that equal lengths are dealt over to be ranked
 
 
@@ -50,6 +53,23 @@ def encoder(ranks_file: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
+@lru_cache(maxsize=2)
+def tokenizer(ranks_file: str):
+    """The `tokenizers` file beside a rank file."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(os.path.splitext(ranks_file)[0] + ".json")
+
+
+def token_ids(text: str, ranks_file: str) -> list[int]:
+    """Ids of `tokenizers` with the file beside `ranks_file`. `tiktoken` finds the
+    same ones several times faster, but for texts with long runs of blanks, which its
+    pattern walks back over; these go to `tokenizers` itself."""
+    if _LONG_GAP.search(text):
+        return tokenizer(ranks_file).encode(text, add_special_tokens=False).ids
+    return encoder(ranks_file).encode(text, allowed_special="all")
+
+
 def pieces(docs: DataFrame, ranks_file: str, max_tokens: int = MAX_TOKENS, keep_ids: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, piece, start, length, ids_crc32[, ids]): every document's token ids
     and the end id, cut into pieces of `max_tokens` counted from the end, so that
@@ -59,11 +79,10 @@ def pieces(docs: DataFrame, ranks_file: str, max_tokens: int = MAX_TOKENS, keep_
     unsigned crc32 of the piece's ids as little-endian 32-bit numbers."""
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
-        encode = partial(encoder(ranks_file).encode, allowed_special="all")
         for part in parts:
             out = defaultdict(list)
             for name, body in zip(part["key"], part["text"]):
-                ids = np.array([*encode(body or ""), END], "<u4")
+                ids = np.array([*token_ids(body or "", ranks_file), END], "<u4")
                 start, piece = 0, 0
                 while start < len(ids):
                     stop = len(ids) - (len(ids) - start - 1) // max_tokens * max_tokens

@@ -16,7 +16,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import as_bytes, map_batches, stored
+from replyscope.llm.common import as_bytes, map_batches, own_names, stored
 from replyscope.llm.statistics import CLASSES, base_statistics, class_counts
 
 #: Names of the statistics; shares are of code points, words or lines.
@@ -67,9 +67,10 @@ def _statistics(text: bytes | None) -> list[float]:
 
 def learnable(labels: DataFrame, kept_back: Column, sample: int = SAMPLE, key: str = "doc_id", label: str = "quality") -> DataFrame:
     """(key, label) of about `sample` labelled documents that are not kept back,
-    chosen by a hash of the key. A document labelled twice has the lower label."""
+    chosen by a hash of the key. Label 1 is 1, every other label 0; a document
+    labelled twice has the lower one."""
     rows = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~kept_back)
-    rows = rows.groupBy(key).agg(F.min(label).cast("double").alias("label"))
+    rows = rows.groupBy(key).agg(F.min((F.col(label) == 1).cast("double")).alias("label"))
     share = min(1.0, sample / max(rows.count(), 1))
     return rows.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < share * (1 << 20))
 
@@ -120,6 +121,7 @@ def score_expression(model: RuleModel) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
+@own_names("score", "predicted")
 def score(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
     """`docs` without its text, with score (0 to 1) and predicted (score >= 0.5).
     Null and empty texts are scored like any other; rows are never dropped;

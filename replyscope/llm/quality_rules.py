@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import as_bytes, map_batches, split_words, stored
+from replyscope.llm.common import as_bytes, map_batches, own_names, split_words, stored
 from replyscope.llm.statistics import CLASSES, base_statistics, byte_counts, class_counts
 
 COMMON_WORDS = 50  # words of a language's reference
@@ -127,6 +127,7 @@ def word_limit(reference: Reference, most: float = MAX_WORD_DISTANCE, share: flo
     return min(most, share * bare) if bare > 0 else most
 
 
+@own_names("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept")
 def judge(
     docs: DataFrame,
     found: dict[str | None, Reference],

@@ -22,7 +22,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import as_bytes, map_batches, mix, own_scratch, signed, split_words, stored, window_hashes, word_hashes
+from replyscope.llm.common import as_bytes, map_batches, mix, own_names, own_scratch, signed, split_words, stored, window_hashes, word_hashes
 
 WINDOW = 50
 PREFIX = 10  # words that a group is named by
@@ -54,10 +54,10 @@ def _all_spans(docs: DataFrame, window: int, prefix: int) -> DataFrame:
             found = [spans(word_hashes(split_words(body)), window, prefix) for body in part["text"]]
             if found:
                 group, content, first, count = (np.concatenate(column) for column in zip(*found))
-                doc = np.repeat(np.array(part["doc"], np.int64), [len(f[0]) for f in found])
-                yield {"prefix": signed(group), "content": signed(content), "doc": doc, "first": first, "count": count}
+                doc, print_ = (np.repeat(np.array(part[c], np.int64), [len(f[0]) for f in found]) for c in ("doc", "print"))
+                yield {"prefix": signed(group), "content": signed(content), "doc": doc, "print": print_, "first": first, "count": count}
 
-    return map_batches(docs, run, "prefix long, content long, doc long, first int, count int")
+    return map_batches(docs, run, "prefix long, content long, doc long, print long, first int, count int")
 
 
 def deep_nodes(group: np.ndarray, low: np.ndarray, words: list[np.ndarray], window: int) -> list[np.ndarray]:
@@ -81,27 +81,29 @@ def deep_nodes(group: np.ndarray, low: np.ndarray, words: list[np.ndarray], wind
 
 @own_scratch
 def repeated_windows(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
-    """(doc, from, to): word ranges covered by windows of `docs` (doc, text) that
-    also start in a document with a smaller id. Rows with a null id take no part."""
-    docs = docs.filter("doc IS NOT NULL")
+    """(doc, print, from, to): word ranges covered by windows of `docs` (doc, text)
+    that also start in a document with a smaller id. Rows with a null id take no part.
+    Rows may share an id: `print`, the hash of the text, tells them apart."""
+    docs = docs.filter("doc IS NOT NULL").withColumn("print", F.xxhash64("text"))
     table = stored(_all_spans(docs, window, prefix), "spans")
     live = table.groupBy("prefix").agg(F.min("doc").alias("d1"), F.max("doc").alias("d2"), F.min("content").alias("c1"), F.max("content").alias("c2"))
     live = stored(live.filter("d1 <> d2").select("prefix", (F.col("c1") != F.col("c2")).alias("several")), "groups")
     shared = stored(table.join(live, "prefix"), "shared")
     whole = shared.groupBy("prefix", "content").agg(
-        F.min("doc").alias("low"), F.min_by("first", "doc").alias("at"), F.first("count").alias("n"), F.first("several").alias("several")
+        F.min("doc").alias("low"), F.min_by(F.struct("first", "print"), "doc").alias("at"), F.first("count").alias("n"), F.first("several").alias("several")
     )
     whole = stored(whole, "contents")
     sizes = stored(whole.filter("several").groupBy("prefix").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    wanted = whole.filter("several").join(sizes, "prefix").select("prefix", "content", "low", "at", "n", (F.col("size") > group).alias("large"))
-    per_doc = wanted.groupBy("low").agg(F.collect_list(F.struct("prefix", "content", "at", "n", "large")).alias("items"))
-    texts = stored(_span_words(docs.join(per_doc, F.col("doc") == F.col("low")), window), "suffixes")
+    wanted = whole.filter("several").join(sizes, "prefix").select("prefix", "content", "low", "at.print", "at.first", "n", (F.col("size") > group).alias("large"))
+    per_doc = wanted.groupBy(F.col("low").alias("doc"), "print").agg(F.collect_list(F.struct("prefix", "content", "first", "n", "large")).alias("items"))
+    once = docs.dropDuplicates(["doc", "print"])
+    texts = stored(_span_words(once.join(per_doc, ["doc", "print"]), window), "suffixes")
     ranges = _small_groups(texts.filter("NOT large"), window, group).unionByName(_large_groups(texts.filter("large"), window))
     ranges = stored(ranges, "ranges")
     copies = shared.join(whole.select("prefix", "content", "low"), ["prefix", "content"])
-    later = copies.filter("doc > low").select("doc", F.col("first").alias("from"), (F.col("first") + F.col("count") + (window - 1)).alias("to"))
-    own = copies.filter("doc = low").join(ranges, ["prefix", "content"]).select("doc", "first", F.explode("starts").alias("s"))
-    own = own.select("doc", (F.col("first") + F.col("s")).alias("from"), (F.col("first") + F.col("s") + window).alias("to"))
+    later = copies.filter("doc > low").select("doc", "print", F.col("first").alias("from"), (F.col("first") + F.col("count") + (window - 1)).alias("to"))
+    own = copies.filter("doc = low").join(ranges, ["prefix", "content"]).select("doc", "print", "first", F.explode("starts").alias("s"))
+    own = own.select("doc", "print", (F.col("first") + F.col("s")).alias("from"), (F.col("first") + F.col("s") + window).alias("to"))
     return later.unionByName(own)
 
 
@@ -114,9 +116,7 @@ def _span_words(docs: DataFrame, window: int) -> DataFrame:
             for doc, body, items in zip(part["doc"], part["text"], part["items"]):
                 hashes = signed(word_hashes(split_words(body)))
                 for item in items:
-                    words = hashes[item["at"] : item["at"] + item["n"] - 1 + window]
-                    if len(words) != item["n"] - 1 + window:
-                        continue  # another text of the same id
+                    words = hashes[item["first"] : item["first"] + item["n"] - 1 + window]
                     for c, value in zip(out, (item["prefix"], item["content"], doc, item["large"], words)):
                         out[c].append(value)
             yield out
@@ -172,20 +172,23 @@ def _large_groups(rows: DataFrame, window: int) -> DataFrame:
     return found.groupBy("prefix", "content").agg(F.collect_list("s").alias("starts"))
 
 
+@own_names("n_words", "n_removed")
 def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group: int = GROUP, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with every repeated passage removed from `text`, and n_words and
     n_removed (long). A word goes if a window of `window` words that covers it also
     starts in a document with a smaller key; windows are judged on the input. Kept
     words are joined by one space. A null text has no words and stays null; texts
     with fewer words than a window and rows with a null key keep all words and
-    remove none elsewhere. Equal keys never remove each other's words. All columns
+    remove none elsewhere. Equal keys never remove each other's words, and rows of one
+    key with different texts keep their own ranges apart. All columns
     are kept; earlier columns n_words and n_removed are replaced."""
     columns = [c for c in docs.columns if c not in ("n_words", "n_removed")]
     light = docs.select(F.col(key).cast("long").alias("doc"), as_bytes(text).alias("text"))
     ranges = repeated_windows(light, window, prefix, group)
-    per_doc = stored(ranges.groupBy("doc").agg(F.collect_list(F.struct("from", "to")).alias("_ranges")), "removed")
+    per_doc = ranges.groupBy(F.col("doc").alias("_doc"), F.col("print").alias("_print")).agg(F.collect_list(F.struct("from", "to")).alias("_ranges"))
+    per_doc = stored(per_doc, "removed")
     wide = docs.select(*columns, F.col(key).cast("long").alias("_doc"), as_bytes(text).alias("_text"))
-    wide = wide.drop(text).join(per_doc.withColumnRenamed("doc", "_doc"), "_doc", "left")
+    wide = wide.withColumn("_print", F.xxhash64("_text")).drop(text).join(per_doc, ["_doc", "_print"], "left")
     rest = [c for c in columns if c != text]
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
