@@ -275,6 +275,12 @@ def near_dup_pairs(spark, d):
     return pairs.select("kept_doc_id", "removed_doc_id", r6("cosine").alias("cosine"))
 
 
+def near_dup_approximate(spark, d):
+    """Found by bands; the exact cosine of every pair is above the threshold."""
+    pairs = dedup.near_dup_approximate(documents(spark, d), "doc_id", "text", ["doc_id"], 0.9)
+    return pairs.select("kept_doc_id", "removed_doc_id", r6("cosine").alias("cosine"))
+
+
 def dedup_keep_first(spark, d):
     return dedup.dedup_keep_first(documents(spark, d), "doc_id", "text", ["doc_id"], 0.9).select("doc_id", "lang")
 
@@ -507,6 +513,7 @@ ENTRIES = {
     ),
     "near_dup_small_blocks": (near_dup_small_blocks, NEAR_SQL),
     "near_dup_pairs": (near_dup_pairs, NEAR_SQL),
+    "near_dup_approximate": (near_dup_approximate, None),
     "dedup_keep_first": (dedup_keep_first, f"WITH RECURSIVE {DUPLICATES} SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (FROM gone)"),
     "language_profiles": (language_profiles, f"WITH {PROFILES} SELECT lang, gram, round(logp, 6) AS logp FROM prof"),
     "detect_language": (detect_language, f"WITH {PROFILES}, {DETECT} SELECT * FROM spoken"),
