@@ -12,19 +12,19 @@ Results are the same for every value of hot_texts."""
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyscope.functions.text import strip_text, tokenize_word, tokenize_ws, word_ngrams
 from replyscope.operators.index import NUMBERED_MEMBERS, WITNESSES, Index, witnesses
-from replyscope.operators.ordering import top_per_group
+from replyscope.operators.ordering import dense_positions, top_per_group
 from replyscope.session import cut_lineage, spread_by
 
 HOT_TEXTS = 2_000
 WIDEN = 16
 SALTS = 16
+PLACES = 16  # bits of a document's place within a part that is counted in one go
 BROADCAST_WITNESS = 1_000_000  # characters in all witness texts
 
 
@@ -241,34 +241,38 @@ def _with_padding(docs: DataFrame, queries: DataFrame, scored: Scored, index: In
         F.col("have").isNull() | (F.col("have") < k) | (F.col("least") <= alpha * F.col("bm25"))
     )
     short = cut_lineage(short.select("q_key", "bm25"))
-    for pads in _unshared(short, queries, index, alpha, k):
-        docs = docs.unionByName(
-            pads.select("q_key", "text_key", "doc_id", F.lit(0.0).alias("b"), "bm25", F.lit(0.0).alias("dense"), (alpha * F.col("bm25")).alias("score"))
-        )
-    return docs
+    if short.isEmpty():
+        return docs
+    pads = _unshared(short, queries, index, alpha, k)
+    return docs.unionByName(
+        pads.select("q_key", "text_key", "doc_id", F.lit(0.0).alias("b"), "bm25", F.lit(0.0).alias("dense"), (alpha * F.col("bm25")).alias("score"))
+    )
 
 
-def _unshared(short: DataFrame, queries: DataFrame, index: Index, alpha: float, k: int) -> Iterator[DataFrame]:
-    """The first k documents without a shared term for every short query. The
-    documents are looked through in growing parts from the first id on; a query
-    goes on only past those that it shares a term with, which it has scored before."""
-    if short.isEmpty():
-        return
+def _unshared(short: DataFrame, queries: DataFrame, index: Index, alpha: float, k: int) -> DataFrame:
+    """The first k documents without a shared term for every short query.
+
+    Documents are numbered by id once. A shared document at place p that is the i-th
+    shared one of its query has p - i free places before it (i from 0), so the j-th
+    free place is j plus the number of shared documents with at most j free places
+    before them. These are counted; places are never listed."""
     terms = _weighed_terms(queries.join(short, "q_key", "left_semi"), index, alpha)
-    shared = cut_lineage(terms.join(index.postings, "term_key").select("q_key", "text_key").distinct())
-    seen, upto, total = 0, 2 * k, index.n_docs
-    found = None
-    while seen < total and not short.isEmpty():
-        first = index.members.orderBy("doc_id", "text_key").limit(upto)
-        part = first.withColumn("at", F.row_number().over(Window.orderBy("doc_id", "text_key")) - 1).filter(F.col("at") >= seen)
-        asked = short.withColumn("at", F.explode(F.sequence(F.lit(seen), F.lit(min(upto, total) - 1))))
-        free = asked.join(cut_lineage(part.select("at", "text_key", "doc_id")), "at").join(shared, ["q_key", "text_key"], "left_anti")
-        free = cut_lineage(free.drop("at"))
-        yield free
-        found = free if found is None else found.unionByName(free)
-        full = found.groupBy("q_key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
-        short = cut_lineage(short.join(full, "q_key", "left_anti"))
-        seen, upto = upto, 4 * upto
+    shared = terms.join(index.postings, "term_key").select("q_key", "text_key").distinct()
+    order = [F.col("doc_id"), F.col("text_key")]
+    numbered = cut_lineage(dense_positions(index.members.select("text_key", "doc_id"), order, "at"), "numbered")
+    met = cut_lineage(shared.join(numbered, "text_key").select("q_key", "at", F.shiftright("at", PLACES).alias("part")), "met")
+    parts = met.groupBy("q_key", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("q_key").orderBy("part")) - F.col("n")
+    parts = cut_lineage(parts.select("q_key", "part", before.alias("before")), "parts")
+    inside = F.row_number().over(Window.partitionBy("q_key", "part").orderBy("at")) - 1
+    free = met.join(parts, ["q_key", "part"]).withColumn("free", F.col("at") - F.col("before") - inside).filter(F.col("free") < k)
+    skipped = free.groupBy("q_key", "free").agg(F.count(F.lit(1)).alias("n")).groupBy("q_key").agg(F.collect_list(F.struct("free", "n")).alias("skipped"))
+    asked = short.join(skipped, "q_key", "left").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    passed = F.aggregate(
+        F.filter("skipped", lambda x: x["free"] <= F.col("j")), F.lit(0).cast("long"), lambda total, x: total + x["n"]
+    )
+    places = asked.select("q_key", "bm25", (F.col("j") + F.coalesce(passed, F.lit(0))).alias("at"))
+    return places.join(numbered, "at").select("q_key", "bm25", "text_key", "doc_id")
 
 
 def _first_members(index: Index, best: DataFrame, k: int) -> DataFrame:
@@ -321,6 +325,20 @@ def ranked_docs(
     return keyed.select(query_id, "q_key").join(ranked, "q_key").drop("q_key")
 
 
+def bm25_scores(queries: DataFrame, index: Index, k: int, query_id: str = "query_id", text: str = "query_text") -> DataFrame:
+    """(query_id, rank, doc_id, bm25_raw, bm25, low, high): the best k documents by
+    BM25 alone; bm25 is scaled by the limits low and high over all documents. Documents
+    that share no term score 0 and fill short lists."""
+    ranked = ranked_docs(queries, index, 1.0, k, query_id, text)
+    return ranked.select(query_id, "rank", "doc_id", F.col("b").alias("bm25_raw"), "bm25", "low", "high")
+
+
+def tfidf_cosine(queries: DataFrame, index: Index, k: int, query_id: str = "query_id", text: str = "query_text") -> DataFrame:
+    """(query_id, rank, doc_id, cosine): the best k documents by TF-IDF cosine alone."""
+    ranked = ranked_docs(queries, index, 0.0, k, query_id, text)
+    return ranked.select(query_id, "rank", "doc_id", F.col("dense").alias("cosine"))
+
+
 def collect_hits(ranked: DataFrame, query_id: str = "query_id", with_ce: bool = False) -> DataFrame:
     """(query_id, retrieved): the ranked hits as one array in rank order."""
     ce = F.col("ce") if with_ce else F.lit(None).cast("double")

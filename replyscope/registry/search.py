@@ -75,8 +75,8 @@ def _ranked(df, *columns):
 
 
 def bm25_scores(spark, d):
-    found = retrieval.ranked_docs(_benchmark(spark, d), _document_index(spark, d), alpha=1.0, k=10)
-    return _ranked(found, r6("b").alias("bm25_raw"))
+    found = retrieval.bm25_scores(_benchmark(spark, d), _document_index(spark, d), k=10)
+    return _ranked(found, r6("bm25_raw").alias("bm25_raw"))
 
 
 def minmax_per_query(spark, d):
@@ -85,8 +85,8 @@ def minmax_per_query(spark, d):
 
 
 def tfidf_cosine(spark, d):
-    found = retrieval.ranked_docs(_benchmark(spark, d), _document_index(spark, d), alpha=0.0, k=10)
-    return _ranked(found, r6("dense").alias("cosine"))
+    found = retrieval.tfidf_cosine(_benchmark(spark, d), _document_index(spark, d), k=10)
+    return _ranked(found, r6("cosine").alias("cosine"))
 
 
 def hybrid_ranked(spark, d):
@@ -143,6 +143,14 @@ def dense_cosine(spark, d):
     return dense.dense_cosine(queries, docs, 5).select("query_id", "doc_id", r6("dense").alias("dense"), F.col("rank").cast("long").alias("rank"))
 
 
+def dense_approximate(spark, d):
+    """By buckets where these save anything; scores are exact, recall is measured."""
+    vectors = table(spark, d, "embeddings")
+    queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    docs = vectors.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
+    return dense.dense_approximate(queries, docs, 5).select("query_id", "doc_id", r6("dense").alias("dense"), F.col("rank").cast("long").alias("rank"))
+
+
 def _with_vectors(spark, d):
     """Documents and benchmark questions that have a vector of the same id."""
     vectors = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("doc_id"), F.col("embedding").alias("vector"))
@@ -459,6 +467,7 @@ ENTRIES = {
            r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(dense, 9) DESC, doc_id) AS rank FROM s)
            SELECT query_id, doc_id, round(dense, 6) AS dense, rank FROM r WHERE rank <= 5""",
     ),
+    "dense_approximate": (dense_approximate, None),
     "hybrid_vectors": (hybrid_vectors, VECTOR_SQL),
     "hybrid_vectors_shallow": (hybrid_vectors_shallow, VECTOR_SQL),
     "answer_reranked": (
