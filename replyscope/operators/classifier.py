@@ -7,7 +7,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, IDF, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyscope.constants import INTENTS
@@ -92,6 +92,16 @@ def holdout_report(labelled: DataFrame, text: str = "inbound_text", label: str =
     return class_report(aligned), intent_metrics(aligned)
 
 
+def model_weights(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(intent, term, idf, weight): what the model has learned, a row per intent and
+    term of its vocabulary, and one with a null term for the intent's intercept."""
+    vectorizer, shifted, _, regression = model.stages
+    matrix, idf = regression.coefficientMatrix.toArray(), shifted.getScalingVec().toArray()
+    rows = [(INTENTS[i], term, float(idf[j]), float(matrix[i, j])) for i in range(len(matrix)) for j, term in enumerate(vectorizer.vocabulary)]
+    rows += [(INTENTS[i], None, None, float(w)) for i, w in enumerate(regression.interceptVector.toArray())]
+    return spark.createDataFrame(rows, "intent string, term string, idf double, weight double")
+
+
 def model_save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

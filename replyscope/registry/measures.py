@@ -159,12 +159,8 @@ def escalate_auroc(spark, d):
     return _rounded(M.escalate_auroc(a, "score"))
 
 def bootstrap_ci(spark, d):
-    """Draws are random numbers, so the interval is compared with the plain score."""
-    a = aligned_labels(spark, d)
-    plain = M.intent_metrics(a).select(F.col("macro_f1").alias("plain"), F.lit(1).alias("one"))
-    ci = M.bootstrap_ci(a).withColumn("one", F.lit(1)).join(plain, "one")
-    inside = (F.col("low") < F.col("high")) & (F.abs(F.col("mean") - F.col("plain")) < (F.col("high") - F.col("low")))
-    return ci.select(inside.alias("near_plain_score"), r6("plain").alias("macro_f1"), "resamples")
+    """Draws are random numbers, seeded by resample and cell."""
+    return _rounded(M.bootstrap_ci(aligned_labels(spark, d)))
 
 def reply_chain_depth(spark, d):
     return chains.reply_chain_depth(messages(spark, d)).select("tweet_id", F.col("depth").cast("long").alias("depth"))
@@ -293,10 +289,7 @@ ENTRIES = {
             "sc AS (SELECT t, round((row_ord % 89) / 89.0::DOUBLE, 6) AS s FROM pairs)",
         ),
     ),
-    "bootstrap_ci": (
-        bootstrap_ci,
-        S.with_threads(f"SELECT true AS near_plain_score, round({MACRO}, 6) AS macro_f1, 2000 AS resamples", PAIRS, SCORES),
-    ),
+    "bootstrap_ci": (bootstrap_ci, None),
     "reply_chain_depth": (
         reply_chain_depth,
         S.with_msg(

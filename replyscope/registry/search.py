@@ -210,21 +210,17 @@ def _model(spark, d):
 
 
 def train_intent(spark, d):
-    """Rows per weak label, and whether the fitted model gets most of them right."""
-    t, model = _model(spark, d)
-    scored = classifier.score_intent(classifier.weak_label_set(t), model)
-    right = F.count_if(F.col("intent") == F.col("weak_intent"))
-    return scored.groupBy("weak_intent").agg(F.count(F.lit(1)).alias("n"), (right > 0.9 * F.count(F.lit(1))).alias("learned"))
+    """The fitted model: idf and weight of every term for every intent."""
+    _, model = _model(spark, d)
+    return classifier.model_weights(spark, model).select("intent", "term", r6("idf").alias("idf"), r6("weight").alias("weight"))
 
 
-def _valid():
-    """A label of the taxonomy with the probability of the largest of eight classes."""
-    return F.col("intent").isin(list(C.INTENTS)) & F.col("intent_confidence").between(1 / len(C.INTENTS) - 1e-9, 1 + 1e-9)
+def _scored(t, model):
+    return classifier.score_intent(t, model).select("tweet_id", "intent", r6("intent_confidence").alias("intent_confidence"))
 
 
 def score_intent(spark, d):
-    t, model = _model(spark, d)
-    return classifier.score_intent(t, model).select("tweet_id", _valid().alias("valid"))
+    return _scored(*_model(spark, d))
 
 
 def score_intent_unfitted(spark, d):
@@ -232,15 +228,11 @@ def score_intent_unfitted(spark, d):
 
 
 def model_save(spark, d):
+    """Intents by the model that was saved and loaded."""
     t, model = _model(spark, d)
     path = scratch_path(spark, "model")
     classifier.model_save(model, path)
-    answers = [
-        classifier.score_intent(t, m).select("tweet_id", F.col("intent").alias(f"i{i}"), F.col("intent_confidence").alias(f"c{i}"))
-        for i, m in enumerate((model, classifier.model_load(path)))
-    ]
-    same = (F.col("i0") == F.col("i1")) & (F.col("c0") == F.col("c1"))
-    return answers[0].join(answers[1], "tweet_id").select("tweet_id", same.alias("same"))
+    return _scored(t, classifier.model_load(path))
 
 
 def model_load(spark, d):
@@ -252,16 +244,13 @@ def model_load(spark, d):
 def holdout_report(spark, d):
     t = cut_lineage(threads(spark, d))
     report, _ = classifier.holdout_report(classifier.weak_label_set(t))
-    within = F.col("f1").between(0, 1) & F.col("precision").between(0, 1) & F.col("recall").between(0, 1)
-    return report.filter("support > 0").select("label", "support", within.alias("valid"))
+    return report.select("label", r6("precision").alias("precision"), r6("recall").alias("recall"), r6("f1").alias("f1"), "support")
 
 
 def answer_with_model(spark, d):
-    """The columns that do not depend on the fit, and whether the others are valid."""
     t, model = _model(spark, d)
     answers = answer.answer_batch(t, I.index_build(nonempty_docs(t)), model)
-    valid = _valid() & F.col("escalate_category").isNotNull() & (F.col("draft_reply") == template_reply(F.col("intent")))
-    return _answer_columns(answers.withColumn("valid", valid)).select("tweet_id", "brand", "doc_ids", "total").join(answers.select("tweet_id", valid.alias("valid")), "tweet_id")
+    return _answer_columns(answers).withColumn("intent_confidence", r6("intent_confidence"))
 
 
 def answer_given_replies(spark, d):
@@ -491,26 +480,13 @@ ENTRIES = {
             f"asking AS MATERIALIZED (SELECT *, {S.label('inbound_text')} AS i FROM threads)",
         ),
     ),
-    "train_intent": (
-        train_intent,
-        S.with_threads(f"SELECT {S.label('inbound_text')} AS weak_intent, count(*) AS n, true AS learned FROM (SELECT * FROM threads ORDER BY md5('42:' || tweet_id) LIMIT 5000) GROUP BY 1"),
-    ),
-    "score_intent": (score_intent, S.with_threads("SELECT tweet_id, true AS valid FROM threads")),
+    "train_intent": (train_intent, None),
+    "score_intent": (score_intent, None),
     "score_intent_unfitted": (score_intent_unfitted, S.with_threads(f"SELECT tweet_id, {S.label('inbound_text')} AS intent, 0.4::DOUBLE AS intent_confidence FROM threads")),
-    "model_save": (model_save, S.with_threads("SELECT tweet_id, true AS same FROM threads")),
+    "model_save": (model_save, None),
     "model_load": (model_load, S.with_threads(f"SELECT tweet_id, {S.label('inbound_text')} AS intent, 0.4::DOUBLE AS intent_confidence FROM threads")),
-    "holdout_report": (
-        holdout_report,
-        S.with_threads(
-            "SELECT label, count(*) AS support, true AS valid FROM part GROUP BY label UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM part), true",
-            f"weak AS (SELECT tweet_id, {S.label('inbound_text')} AS label FROM threads ORDER BY md5('42:' || tweet_id) LIMIT 5000)",
-            "part AS (SELECT * FROM weak ORDER BY md5('42:' || tweet_id) LIMIT (SELECT (count(*) + 4) // 5 FROM weak))",
-        ),
-    ),
-    "answer_with_model": (
-        answer_with_model,
-        thread_sql("SELECT tweet_id, brand, coalesce(doc_ids, '') AS doc_ids, coalesce(total, 0) AS total, true AS valid FROM threads LEFT JOIN tops ON tops.query_id = tweet_id", TOTALS),
-    ),
+    "holdout_report": (holdout_report, None),
+    "answer_with_model": (answer_with_model, None),
     "answer_given_replies": (
         answer_given_replies,
         thread_sql(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replyscope.constants import DEFAULT_BRAND, SYNTHETIC_TEXTS
+from replyscope.sources.quoted import read_quoted
 from replyscope.functions.text import clean_text, normalize_inbound, parse_created_at
 
 
@@ -50,14 +51,19 @@ def normalize_raw(df: DataFrame, brand_default: str = DEFAULT_BRAND, order: list
 
 
 def read_raw(
-    spark: SparkSession, path: str, brand_default: str = DEFAULT_BRAND, order: list[str] | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, brand_default: str = DEFAULT_BRAND, order: list[str] | None = None, multi_line: bool = True, broken: str | None = None
 ) -> DataFrame:
     """CSV with a header line. All columns are read as text, since ids must
-    stay text; only the header is inspected to know which columns exist. Without
-    line breaks inside values, multi_line=False lets Spark split large files."""
+    stay text; only the header is inspected to know which columns exist. Values may
+    hold line breaks, and files are read in parts all the same (see `quoted`); with
+    multi_line=False, for files known to have none, Spark's own reader needs no
+    pass to find the records. `broken` names a column for the text of records that
+    have too many or too few values."""
+    if multi_line:
+        return normalize_raw(read_quoted(spark, path, broken), brand_default, order)
     names = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    options = {"header": True, "multiLine": multi_line, "escape": '"', "quote": '"'}
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *([broken] if broken else [])]])
+    options = {"header": True, "escape": '"', "quote": '"'} | ({"columnNameOfCorruptRecord": broken} if broken else {})
     return normalize_raw(spark.read.options(**options).schema(schema).csv(path), brand_default, order)
 
 
