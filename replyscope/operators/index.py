@@ -16,6 +16,7 @@ term frequency), kind 'c' the TF-IDF n-grams (weight is the unit vector)."""
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -145,20 +146,40 @@ def index_build(
     )
 
 
-def index_save(index: Index, path: str) -> None:
-    """One parquet folder per table; postings are laid out by term, so that a
-    term's postings sit together and row groups can be skipped by term."""
-    index.postings.repartitionByRange("term_key", "text_key").sortWithinPartitions(
-        "term_key", "text_key"
-    ).write.mode("overwrite").parquet(os.path.join(path, "postings"))
-    for name in ("texts", "members", "terms", "stats"):
-        getattr(index, name).write.mode("overwrite").parquet(os.path.join(path, name))
+def index_save(index: Index, path: str, buckets: int | None = None) -> None:
+    """One parquet folder per table. Postings are cut into buckets by term (as many
+    as there are shuffle partitions, by default) and sorted by term and text inside, so
+    that a join by term reads them where they are, and row groups are skipped."""
+    spark = index.postings.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = os.path.join(path, "postings")
+    name = _table_name(folder)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    dealt = index.postings.repartition(buckets, "term_key").write.mode("overwrite").option("path", folder)
+    dealt.bucketBy(buckets, "term_key").sortBy("term_key", "text_key").saveAsTable(name)
+    for table in ("texts", "members", "terms"):
+        getattr(index, table).write.mode("overwrite").parquet(os.path.join(path, table))
+    index.stats.withColumn("buckets", F.lit(buckets)).write.mode("overwrite").parquet(os.path.join(path, "stats"))
+
+
+def _table_name(folder: str) -> str:
+    """The session's name for the postings in a folder."""
+    return f"postings_{hashlib.md5(folder.encode()).hexdigest()}"
 
 
 def index_load(spark: SparkSession, path: str) -> Index:
-    tables = {name: spark.read.parquet(os.path.join(path, name)) for name in TABLES}
-    stats = tables["stats"].first()
-    return Index(**tables, **stats.asDict())
+    """The index saved at `path`, by this session or another one."""
+    tables = {name: spark.read.parquet(os.path.join(path, name)) for name in TABLES if name != "postings"}
+    stats = tables["stats"].first().asDict()
+    buckets = stats.pop("buckets")
+    folder = os.path.join(path, "postings")
+    name = _table_name(folder)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} (term_key BIGINT, text_key BIGINT, weight DOUBLE) USING parquet "
+        f"CLUSTERED BY (term_key) SORTED BY (term_key, text_key) INTO {buckets} BUCKETS LOCATION '{folder}'"
+    )
+    tables["stats"] = tables["stats"].drop("buckets")
+    return Index(**tables, postings=spark.table(name), **stats)
 
 
 def fallback_corpus(spark: SparkSession) -> Index:

@@ -45,34 +45,36 @@ def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang
 def detect_language(docs: DataFrame, profiles: DataFrame, key: str, text: str) -> DataFrame:
     """(key, language), one row per key. Texts of up to 15 characters, and texts
     without any trigram known to a profile, count as the default language. Texts
-    with the same key are taken together."""
+    with the same key are taken together.
+
+    A trigram meets one row of the table, which has its gain over the unseen
+    probability for every language. Trigrams are summed up by key where the text is
+    read: one pass, and one row per key and task is shuffled."""
     floor = profiles.filter("gram is null").select("lang", F.col("logp").alias("floor"))
-    # Every trigram with its gain over the unseen probability, per language.
-    gains = profiles.filter("gram is not null").join(floor, "lang").select(
-        "gram", F.struct("lang", (F.col("logp") - F.col("floor")).alias("gain")).alias("g")
+    floors = {r["lang"]: r["floor"] for r in floor.orderBy("lang").collect()}  # one row per language
+    gains = profiles.filter("gram is not null").join(floor, "lang").groupBy("gram").agg(
+        F.map_from_entries(F.collect_list(F.struct("lang", F.col("logp") - F.col("floor")))).alias("gains")  # at most one per language
     )
-    table = cut_lineage(gains.groupBy("gram").agg(F.collect_list("g").alias("gains")))
+    gains = gains.select("gram", F.array(*[F.coalesce(F.col("gains")[name], F.lit(0.0)) for name in floors]).alias("gains"))
+    table = cut_lineage(gains, "gains")
+    length = F.length(F.coalesce(F.col(text), F.lit(""))).alias("_length")
+    grams = docs.select(key, length, F.explode_outer(trigrams(normalized(F.col(text)))).alias("gram"))
     if table.count() <= BROADCAST_GRAMS:
         table = F.broadcast(table)
-    # Placed by id before the trigrams are unrolled: all sums per text are local.
-    counts = _gram_counts(spread_by(docs.select(key, text), key), [key], text)
-    scores = (
-        counts.join(table, "gram")
-        .select(key, "n", F.inline("gains"))
-        .groupBy(key, "lang")
-        .agg(F.sum(F.col("n") * F.col("gain")).alias("gain"))
-    )
-    length = docs.groupBy(key).agg(F.max(F.length(F.coalesce(F.col(text), F.lit("")))).alias("_length"))
-    totals = counts.groupBy(key).agg(F.sum("n").alias("grams"))
-    lifted = scores.join(totals, key).join(floor, "lang").withColumn(
-        "score", F.round(F.col("gain") + F.col("grams") * F.col("floor"), 6)
-    )
-    best = lifted.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("lang").alias("lang"))).alias("m"))
-    found = length.join(best, key, "left")
-    language = F.when(F.col("_length") <= SHORT_TEXT, F.lit(DEFAULT_LANGUAGE)).otherwise(
-        F.coalesce(F.col("m.lang"), F.lit(DEFAULT_LANGUAGE))
-    )
-    return found.select(key, language.alias("language"))
+        grams = grams.withColumn("n", F.when(F.col("gram").isNotNull(), 1).otherwise(0))
+    else:  # the trigrams are shuffled, once per text
+        grams = spread_by(docs.select(key, text), key).select(key, length, F.explode_outer(trigrams(normalized(F.col(text)))).alias("gram"))
+        grams = grams.groupBy(key, "gram").agg(F.max("_length").alias("_length"), F.count("gram").alias("n"))
+    sums = [F.sum(F.col("n") * F.coalesce(F.col("gains")[i], F.lit(0.0))).alias(f"_gain{i}") for i in range(len(floors))]
+    found = grams.join(table, "gram", "left").groupBy(key).agg(F.max("_length").alias("_length"), F.sum("n").alias("_grams"), *sums)
+    # a language that knows none of the trigrams has gained nothing, and is no candidate
+    scores = [
+        F.when(F.col(f"_gain{i}") > 0, F.struct((-F.round(F.col(f"_gain{i}") + F.col("_grams") * limit, 6)).alias("s"), F.lit(name).alias("lang")))
+        for i, (name, limit) in enumerate(floors.items())
+    ]
+    default = F.lit(DEFAULT_LANGUAGE)
+    best = F.coalesce(F.array_min(F.array_compact(F.array(*scores)))["lang"], default) if scores else default
+    return found.select(key, F.when(F.col("_length") <= SHORT_TEXT, default).otherwise(best).alias("language"))
 
 
 def filter_language(docs: DataFrame, profiles: DataFrame, key: str, text: str, lang: str = DEFAULT_LANGUAGE) -> DataFrame:
