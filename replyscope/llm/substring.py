@@ -8,8 +8,8 @@ fills are done. Spans that are repeated word for word are settled by their small
 document. Only groups with several different spans need a tree: each span comes
 once, a task takes whole groups up to its memory, sorts their suffixes and reads
 off the inner nodes at full depth, whose leaves are the occurrences of a repeat.
-A group with too many spans for a task is divided by the longest prefix, the whole
-50 words, where a node is a key and its smallest document an aggregate.
+A group with too many spans for a task is divided: its windows are filed again under
+prefixes of twice the length, until every group fits one or the prefix is the window.
 
 Adjacent nodes of a document join into maximal repeats, which are removed."""
 
@@ -98,8 +98,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX
     per_doc = wanted.groupBy(F.col("low").alias("doc"), "print").agg(F.collect_list(F.struct("prefix", "content", "first", "n", "large")).alias("items"))
     once = docs.dropDuplicates(["doc", "print"])
     texts = stored(_span_words(once.join(per_doc, ["doc", "print"]), window), "suffixes")
-    ranges = _small_groups(texts.filter("NOT large"), window, group).unionByName(_large_groups(texts.filter("large"), window))
-    ranges = stored(ranges, "ranges")
+    ranges = stored(_trees(texts, window, prefix, group), "ranges")
     copies = shared.join(whole.select("prefix", "content", "low"), ["prefix", "content"])
     later = copies.filter("doc > low").select("doc", "print", F.col("first").alias("from"), (F.col("first") + F.col("count") + (window - 1)).alias("to"))
     own = copies.filter("doc = low").join(ranges, ["prefix", "content"]).select("doc", "print", "first", F.explode("starts").alias("s"))
@@ -154,22 +153,55 @@ def _small_groups(rows: DataFrame, window: int, group: int) -> DataFrame:
     return map_batches(dealt, run, "prefix long, content long, starts array<int>")
 
 
-def _large_groups(rows: DataFrame, window: int) -> DataFrame:
-    """(prefix, content, starts) of groups that no single task holds: a suffix is
-    filed under its whole text."""
+def _divided(texts: DataFrame, window: int, prefix: int, group: int) -> DataFrame:
+    """(prefix, content, starts) of groups that are too large for a tree: the windows
+    of their spans are filed under prefixes of twice the length, up to the whole window,
+    where equal windows are equal spans and no tree is needed. `texts` has the spans'
+    words; a span stands for the document that it is settled for, `low`."""
+    longer = min(window, 2 * prefix)
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
         for part in parts:
-            nodes = [window_hashes(np.array(words, np.int64).view(np.uint64), window) for words in part["words"]]
-            if nodes:
-                each = [len(n) for n in nodes]
+            found = [spans(np.array(words, np.int64).view(np.uint64), window, longer) for words in part["words"]]
+            if found:
+                sub, same, first, count = (np.concatenate(column) for column in zip(*found))
+                each = [len(f[0]) for f in found]
                 out = {c: np.repeat(np.array(part[c], np.int64), each) for c in ("prefix", "content", "low")}
-                yield out | {"node": signed(np.concatenate(nodes)), "s": np.concatenate([np.arange(n) for n in each])}
-
-    suffixes = stored(map_batches(rows.select("prefix", "content", "low", "words"), run, "prefix long, content long, low long, node long, s int"), "leaves")
-    least = stored(suffixes.groupBy("prefix", "node").agg(F.min("low").alias("least"), F.max("low").alias("most")).filter("least <> most").drop("most"), "nodes")
-    found = suffixes.join(least, ["prefix", "node"]).filter("least < low")
-    return found.groupBy("prefix", "content").agg(F.collect_list("s").alias("starts"))
+                yield out | {"sub": signed(sub), "same": signed(same), "first": first, "count": count}
+
+    schema = "prefix long, content long, low long, sub long, same long, first int, count int"
+    table = stored(map_batches(texts.select("prefix", "content", "low", "words"), run, schema), "longer")
+    live = table.groupBy("sub").agg(F.min("low").alias("d1"), F.max("low").alias("d2"), F.min("same").alias("c1"), F.max("same").alias("c2"))
+    live = stored(live.filter("d1 <> d2").select("sub", (F.col("c1") != F.col("c2")).alias("several")), "groups")
+    shared = stored(table.join(live, "sub"), "shared")
+    whole = shared.groupBy("sub", "same").agg(
+        F.min("low").alias("least"), F.min_by(F.struct("prefix", "content", "first"), "low").alias("at"), F.first("count").alias("n"), F.first("several").alias("several")
+    )
+    whole = stored(whole, "contents")
+    copies = shared.join(whole.select("sub", "same", "least"), ["sub", "same"])
+    repeated = copies.filter("low > least").select("prefix", "content", F.sequence("first", F.col("first") + F.col("count") - 1).alias("starts"))
+    several = stored(whole.filter("several"), "several")
+    if not several.isEmpty():
+        sizes = several.groupBy("sub").agg((F.count(F.lit(1)) > group).alias("large"))
+        wanted = several.join(stored(sizes, "sizes"), "sub").select("sub", "same", "least", "at.*", "n", "large")
+        inner = wanted.join(texts.select("prefix", "content", "words"), ["prefix", "content"]).select(
+            F.col("sub").alias("prefix"), F.col("same").alias("content"), F.col("least").alias("low"), "large",
+            F.slice("words", F.col("first") + 1, F.col("n") + (window - 1)).alias("words"),
+        )
+        found = _trees(stored(inner, "suffixes"), window, longer, group)
+        found = found.select(F.col("prefix").alias("sub"), F.col("content").alias("same"), F.col("starts").alias("inner"))
+        own = copies.filter("low = least").join(found, ["sub", "same"])
+        own = own.select("prefix", "content", F.transform("inner", lambda x: x + F.col("first")).alias("starts"))
+        repeated = repeated.unionByName(own)
+    return repeated.groupBy("prefix", "content").agg(F.flatten(F.collect_list("starts")).alias("starts"))  # a span has about forty windows at most
+
+
+def _trees(texts: DataFrame, window: int, prefix: int, group: int) -> DataFrame:
+    """(prefix, content, starts): repeated windows of spans, by trees over the groups
+    that fit one, and by longer prefixes for the others."""
+    found = _small_groups(texts.filter("NOT large"), window, group)
+    large = texts.filter("large")
+    return found if large.isEmpty() else found.unionByName(_divided(large, window, prefix, group))
 
 
 @own_names("n_words", "n_removed")

@@ -234,3 +234,24 @@ def test_host_of_pages(spark):
     out = line_dedup.drop_boilerplate(pages.withColumn("host", line_dedup.host_of("url")), host="host", text="html")
     assert {r["html"] for r in out.filter("host = 'news.example.org'").collect()} == {f"page {i}" for i in range(8)}
     assert {r["html"] for r in out.filter("host IS NULL").collect()} == {"Footer\nx", "Footer"}
+
+
+@pytest.mark.parametrize("group", [1, 3, 40])
+def test_repeats_with_groups_divided_by_longer_prefixes(spark, group):
+    """One common run of words in many different texts fills a group."""
+    rng = random.Random(group)
+    common, words = [f"c{i}" for i in range(14)], [f"w{i}" for i in range(9)]
+    shared = [rng.choice(words) for _ in range(26)]
+    rows = []
+    for i in range(60):
+        head, tail = rng.choices(words, k=rng.randint(0, 12)), rng.choices(words, k=rng.randint(0, 12))
+        rows.append((i, " ".join([*head, *common, *(shared[: rng.choice([0, 12, 26])]), *tail])))
+    rows += [(60, rows[5][1]), (61, rows[7][1] + " " + rows[9][1]), (7, rows[30][1])]
+    got = {(r["doc_id"], r["n_words"], r["n_removed"]) for r in substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), window=20, prefix=4, group=group).collect()}
+    want = set()
+    for doc, text in rows:
+        w = text.split()
+        earlier = {tuple(o.split()[i : i + 20]) for d, o in rows if d < doc for i in range(len(o.split()) - 19)}
+        gone = {j for i in range(len(w) - 19) if tuple(w[i : i + 20]) in earlier for j in range(i, i + 20)}
+        want.add((doc, len(w), len(gone)))
+    assert got == want and sum(n for _, _, n in want) > 100
