@@ -7,8 +7,13 @@ replies repeat a lot, so the index is built over distinct texts. Statistics
   texts     text_key, digest, text, copies, length
   members   text_key, doc_id, pos      every id of every text; pos numbers the
                                        first ones and is null behind them
-  postings  term_key, text_key, weight
-  terms     term_key, kind, term, df, n_texts, idf, max_weight
+  postings  term_key, text_key, weight, level
+  terms     term_key, kind, term, df, n_texts, idf, max_weight, levels
+
+The postings of a term are in blocks by weight: level 0 holds the highest weights, each
+next level those lower by a quarter octave, the last one the rest. levels has the number
+of postings and the highest weight of every block, so a search reads the first blocks of a
+frequent term and knows what the others can add at most.
 
 kind 'b' holds BM25 terms (whitespace tokens; weight is the length-normalised
 term frequency), kind 'c' the TF-IDF n-grams (weight is the unit vector)."""
@@ -19,7 +24,7 @@ import dataclasses
 import hashlib
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from replyscope.constants import STOCK_REPLIES, STOP_WORDS
@@ -31,9 +36,17 @@ from replyscope.session import cut_lineage, spread_by
 K1, B, EPSILON = 1.5, 0.75, 0.25
 NUMBERED_MEMBERS = 100  # ids of a text that have a position
 WITNESSES = 64
+LEVELS = 16  # blocks of a term's postings
+PER_OCTAVE = 4  # blocks in which the weight halves
 TABLES = ("texts", "members", "postings", "terms", "stats")
 
 
+def weight_level(weight: Column, most: float) -> Column:
+    """Block of a posting: how far its weight is below `most`, in fractions of octaves."""
+    below = F.floor(F.lit(float(PER_OCTAVE)) * F.log2(F.lit(most) / weight)).cast("int")
+    return F.greatest(F.lit(0), F.least(F.lit(LEVELS - 1), below))
+
+
 @dataclasses.dataclass
 class Index:
     texts: DataFrame
@@ -128,11 +141,13 @@ def index_build(
     # Kept terms are numbered: keys are short and never collide.
     terms = cut_lineage(b_terms.unionByName(c_terms).select(F.monotonically_increasing_id().alias("term_key"), "*"))
     b_keys = terms.filter("kind = 'b'").select("term", "term_key")
-    b_postings = b_counts.join(b_keys, "term").select("term_key", "text_key", bm25_weight.alias("weight"))
+    b_level = weight_level(bm25_weight, K1 + 1)  # no weight is higher
+    b_postings = b_counts.join(b_keys, "term").select("term_key", "text_key", bm25_weight.alias("weight"), b_level.alias("level"))
     c_keys = hint_vocab(terms.filter("kind = 'c'").select("term", "term_key", "idf"), max_features)
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("text_key")))
     c_postings = c_counts.join(c_keys, "term").select("term_key", "text_key", (raw / norm).alias("weight"))
+    c_postings = c_postings.withColumn("level", weight_level(F.col("weight"), 1.0))
     stats = docs.sparkSession.range(1).select(
         F.lit(n_docs).alias("n_docs"),
         F.lit(n_texts).alias("n_texts"),
@@ -140,6 +155,9 @@ def index_build(
         F.lit(float(floor)).alias("floor"),
     )
     postings = cut_lineage(b_postings.unionByName(c_postings))
+    blocks = postings.groupBy("term_key", "level").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("most"))
+    levels = F.array_sort(F.collect_list(F.struct("level", "n", "most"))).alias("levels")
+    terms = cut_lineage(terms.join(blocks.groupBy("term_key").agg(levels), "term_key"))
     return Index(
         texts, members, postings, terms, stats,
         n_docs, n_texts, float(average_length), float(floor),
@@ -175,7 +193,7 @@ def index_load(spark: SparkSession, path: str) -> Index:
     folder = os.path.join(path, "postings")
     name = _table_name(folder)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} (term_key BIGINT, text_key BIGINT, weight DOUBLE) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {name} (term_key BIGINT, text_key BIGINT, weight DOUBLE, level INT) USING parquet "
         f"CLUSTERED BY (term_key) SORTED BY (term_key, text_key) INTO {buckets} BUCKETS LOCATION '{folder}'"
     )
     tables["stats"] = tables["stats"].drop("buckets")

@@ -2,18 +2,22 @@
 
 Score = alpha * minmax(BM25) + (1 - alpha) * TF-IDF cosine, where min and max
 run over all documents. Unrolling every shared word would join nearly every
-query with nearly every document, because of words like 'the'. So only terms
-found in at most hot_texts texts produce candidates. Those that can still be
-among the best are completed with the frequent terms. A bound shows which
-queries are thereby answered exactly; the others are tried again with WIDEN times
-hot_texts, so that a query reads no more frequent terms than its bound needs.
+query with nearly every document, because of words like 'the'. So candidates come
+from the terms found in at most hot_texts texts, and from the blocks of highest weight
+of the others, as many as hold HEAD_SHARE of that. What the unread blocks can add is
+bounded by the highest weight in the first of them. Candidates that can still be
+among the best are completed from the unread blocks. The bound shows which
+queries are thereby answered exactly. The others are tried again: their best k scores so
+far tell how small the bound has to be, and the bounds of larger limits are computed from
+the blocks' highest weights alone, so each query takes the smallest limit that proves it.
 Results are the same for every value of hot_texts."""
 
 from __future__ import annotations
 
 import dataclasses
+import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyscope.functions.text import strip_text, tokenize_word, tokenize_ws, word_ngrams
@@ -22,7 +26,8 @@ from replyscope.operators.ordering import dense_positions, top_per_group
 from replyscope.session import cut_lineage, spread_by
 
 HOT_TEXTS = 2_000
-WIDEN = 16
+WIDEN = 16  # for queries without k scores yet
+HEAD_SHARE = 0.25  # of hot_texts: postings of a frequent term that are read first
 SALTS = 16
 PLACES = 16  # bits of a document's place within a part that is counted in one go
 BROADCAST_WITNESS = 1_000_000  # characters in all witness texts
@@ -37,9 +42,7 @@ class Scored:
 
 
 def query_terms(queries: DataFrame, index: Index, ngram=(1, 2)) -> DataFrame:
-    """(q_key, kind, term, term_key, qw, bound, n_texts) of distinct query texts.
-
-    bound is the most the term can add to one document's BM25 score."""
+    """(q_key, kind, term, term_key, qw, n_texts, levels) of distinct query texts."""
     tokens = queries.select(
         "q_key", tokenize_ws(F.col("q_text")).alias("_b"), tokenize_word(F.col("q_text")).alias("_c")
     )
@@ -59,10 +62,7 @@ def query_terms(queries: DataFrame, index: Index, ngram=(1, 2)) -> DataFrame:
     is_c = F.col("kind") == "c"
     norm = F.sqrt(F.sum(F.when(is_c, raw * raw).otherwise(0.0)).over(Window.partitionBy("q_key")))
     qw = F.when(is_c, raw / norm).otherwise(raw)
-    return known.select(
-        "q_key", "kind", "term", "term_key", qw.alias("qw"), "n_texts",
-        F.when(~is_c, raw * F.col("max_weight")).otherwise(0.0).alias("bound"),
-    )
+    return known.select("q_key", "kind", "term", "term_key", qw.alias("qw"), "n_texts", "levels")
 
 
 def _sums():
@@ -75,15 +75,58 @@ def _sums():
     ]
 
 
-def _rare_sums(terms: DataFrame, index: Index, hot_texts: int) -> DataFrame:
-    """Scores by rare terms alone, for every text that shares one with a query."""
-    rare = terms.filter(F.col("n_texts") <= hot_texts)
-    return rare.join(index.postings, "term_key").groupBy("q_key", "text_key").agg(*_sums())
+def with_unread(terms: DataFrame, head_share: float = HEAD_SHARE) -> DataFrame:
+    """Adds unread, the first block of a term that is left unread at the query's hot_texts
+    (null: all are read), and rest, the highest weight in an unread block. Blocks come by
+    falling weight."""
+    hot_texts = F.col("hot_texts")
+    limit = F.when(F.col("n_texts") <= hot_texts, F.col("n_texts")).otherwise((hot_texts * head_share).cast("long"))
+
+    def state(n, unread, rest):
+        return F.struct(n.cast("long").alias("n"), unread.cast("int").alias("unread"), rest.cast("double").alias("rest"))
+
+    def step(read, block):
+        fits = read["n"] + block["n"] <= limit
+        open_ = read["unread"].isNull()
+        return F.when(open_ & fits, state(read["n"] + block["n"], F.lit(None), F.lit(0.0))).when(
+            open_, state(read["n"], block["level"], block["most"])
+        ).otherwise(read)
+
+    read = F.aggregate("levels", state(F.lit(0), F.lit(None), F.lit(0.0)), step)
+    marked = terms.withColumn("_read", read)
+    return marked.select(*terms.columns, F.col("_read.unread").alias("unread"), F.col("_read.rest").alias("rest"))
+
+
+def _unread_bounds() -> list[Column]:
+    """Terms with unread blocks, and what these add at most to the scores of a text."""
+    hot = F.col("unread").isNotNull()
+    most = F.col("qw") * F.col("rest")
+    hot_c = hot & (F.col("kind") == "c")
+    # A text's weights are a unit vector, so the root of squares is a bound as well.
+    root = F.sqrt(F.sum(F.when(hot_c, F.col("qw") * F.col("qw")).otherwise(0.0)))
+    return [
+        F.count_if(hot).alias("n_hot"),
+        F.sum(F.when(hot & (F.col("kind") == "b"), most).otherwise(0.0)).alias("hot_b"),
+        F.least(root, F.sum(F.when(hot_c, most).otherwise(0.0))).alias("hot_c"),
+    ]
+
+
+def _read_sums(terms: DataFrame, index: Index, heads: bool) -> DataFrame:
+    """Scores by the blocks read, for every text in one of them. Terms read whole are
+    joined by term; the first blocks of the others by term and block, so that the rest of
+    their postings meets no query."""
+    fields = ("q_key", "text_key", "kind", "qw", "weight")
+    met = terms.filter("unread IS NULL").drop("levels").join(index.postings, "term_key").select(*fields)
+    if heads:
+        read = F.filter("levels", lambda x: x["level"] < F.col("unread"))
+        blocks = terms.select("q_key", "kind", "qw", "term_key", F.explode(read["level"]).alias("level"))
+        met = met.unionByName(blocks.join(index.postings, ["term_key", "level"]).select(*fields))
+    return met.groupBy("q_key", "text_key").agg(*_sums())
 
 
 def _worth_completing(partial: DataFrame, queries: DataFrame, alpha: float, k: int) -> DataFrame:
     """Candidates that can be among the best k of their query, or have its
-    highest BM25 score, when frequent terms add at most hot_b and hot_c."""
+    highest BM25 score, when unread blocks add at most hot_b and hot_c."""
     peaks = queries.join(partial.groupBy("q_key").agg(F.max("b").alias("peak")), "q_key")
     share = F.when(F.col("peak") + F.col("hot_b") > 0, F.col("b") / (F.col("peak") + F.col("hot_b"))).otherwise(F.lit(0.0))
     at_least = partial.join(peaks, "q_key").select("q_key", "text_key", (alpha * share + (1 - alpha) * F.col("dense")).alias("least"))
@@ -99,14 +142,15 @@ def _worth_completing(partial: DataFrame, queries: DataFrame, alpha: float, k: i
     return partial.join(limits, "q_key").filter(hopeful).select(*partial.columns)
 
 
-def _completed(partial: DataFrame, terms: DataFrame, index: Index, hot_texts: int) -> DataFrame:
-    """Adds the frequent terms. (term_key, text_key) is unique in the postings,
+def _completed(partial: DataFrame, terms: DataFrame, index: Index) -> DataFrame:
+    """Adds the unread blocks. (term_key, text_key) is unique in the postings,
     so the join cannot explode."""
-    hot = terms.filter(F.col("n_texts") > hot_texts)
+    hot = terms.filter("unread IS NOT NULL")
     rest = (
         partial.select("q_key", "text_key")
-        .join(hot.select("q_key", "kind", "term_key", "qw"), "q_key")
+        .join(hot.select("q_key", "kind", "term_key", "qw", "unread"), "q_key")
         .join(index.postings, ["term_key", "text_key"])
+        .filter(F.col("level") >= F.col("unread"))
         .groupBy("q_key", "text_key")
         .agg(*_sums())
     )
@@ -162,33 +206,57 @@ def _unmatched_witness(terms: DataFrame, index: Index) -> DataFrame:
 
 def best_texts(queries: DataFrame, index: Index, alpha: float, k: int, hot_texts: int = HOT_TEXTS) -> Scored:
     """Exact best k texts for distinct queries (q_key, q_text)."""
-    terms = cut_lineage(_weighed_terms(queries, index, alpha))
-    found = _answered(terms, index, alpha, k, hot_texts)
+    terms = cut_lineage(_weighed_terms(queries, index, alpha).withColumn("hot_texts", F.lit(hot_texts).cast("long")))
+    found, goals = _answered(terms, index, alpha, k)
     while True:
-        rest = terms.join(found.stats.select("q_key"), "q_key", "left_anti")
-        if hot_texts >= index.n_texts or rest.isEmpty():
+        rest = terms.filter(F.col("hot_texts") < index.n_texts).join(found.stats.select("q_key"), "q_key", "left_anti")
+        if rest.isEmpty():
             return found
-        terms = cut_lineage(rest)
-        hot_texts = max(hot_texts, 1) * WIDEN
-        more = _answered(terms, index, alpha, k, hot_texts)
+        terms = cut_lineage(_wider(cut_lineage(rest), goals, index, alpha, hot_texts))
+        more, goals = _answered(terms, index, alpha, k)
         found = Scored(found.best.unionByName(more.best), found.stats.unionByName(more.stats))
 
 
+def _wider(terms: DataFrame, goals: DataFrame, index: Index, alpha: float, hot_texts: int) -> DataFrame:
+    """The terms with the smallest limit (a power of two times the last one) whose unread
+    blocks can neither lift another text to the query's goal nor exceed the highest BM25
+    score found. Only the terms' blocks are looked at, no postings."""
+    steps = max(1, math.ceil(math.log2((index.n_texts + 1) / max(hot_texts, 1))))
+    factor = F.explode(F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.pow(F.lit(2.0), i).cast("long")))
+    limits = terms.select("*", factor.alias("_factor")).withColumn("hot_texts", F.greatest(F.col("hot_texts"), F.lit(1)) * F.col("_factor"))
+    bounds = with_unread(limits.join(goals, "q_key")).groupBy("q_key", "hot_texts", "goal", "best_b").agg(*_unread_bounds())
+    share = F.when(F.col("best_b") > 0, F.col("hot_b") / F.col("best_b")).otherwise(F.lit(0.0))
+    ceiling = alpha * share + (1 - alpha) * F.least(F.col("hot_c"), F.lit(1.0))
+    proven = (F.col("n_hot") == 0) | ((F.col("best_b") >= F.col("hot_b")) & (F.col("goal") > ceiling + 2e-8))
+    enough = bounds.filter(proven).groupBy("q_key").agg(F.min("hot_texts").alias("_limit"))
+    wider = F.coalesce(F.col("_limit"), F.greatest(F.col("hot_texts"), F.lit(1)) * WIDEN)
+    return terms.join(enough, "q_key", "left").withColumn("hot_texts", wider).drop("_limit")
+
+
+def _goals(candidates: DataFrame, queries: DataFrame, alpha: float, k: int) -> DataFrame:
+    """(q_key, best_b, goal): the highest BM25 score found, and a score that the k-th best
+    text has at least, of queries with k candidates."""
+    peaks = queries.join(candidates.groupBy("q_key").agg(F.max("b").alias("best_b")), "q_key")
+    high = F.greatest("best_b", "hot_b")
+    least = alpha * F.when(high > 0, F.col("b") / high).otherwise(F.lit(0.0)) + (1 - alpha) * F.col("dense")
+    at_least = candidates.join(peaks, "q_key").select("q_key", "text_key", "best_b", least.alias("least"))
+    return top_per_group(at_least, ["q_key"], [F.desc("least")], k).groupBy("q_key", "best_b").agg(
+        F.min("least").alias("goal"), F.count(F.lit(1)).alias("found")
+    ).filter(F.col("found") >= k).drop("found")
+
+
 def _weighed_terms(queries: DataFrame, index: Index, alpha: float) -> DataFrame:
     terms = query_terms(queries, index)
     return terms.filter("kind = 'b'") if alpha >= 1 else terms.filter("kind = 'c'") if alpha <= 0 else terms
 
 
-def _answered(terms: DataFrame, index: Index, alpha: float, k: int, hot_texts: int) -> Scored:
-    """The queries whose best k texts are proven with candidates from terms in at
-    most hot_texts texts. Without more frequent terms that is every query."""
-    hot = F.col("n_texts") > hot_texts
-
+def _answered(terms: DataFrame, index: Index, alpha: float, k: int) -> tuple[Scored, DataFrame]:
+    """The queries whose best k texts are proven with candidates from the blocks read
+    at their hot_texts, and the goals of all with k candidates. Where every block is read,
+    a query is proven."""
+    terms = with_unread(terms)
     reach = terms.groupBy("q_key").agg(
-        F.count_if(hot).alias("n_hot"),
-        F.sum(F.when(hot, F.col("bound")).otherwise(0.0)).alias("hot_b"),
-        F.sqrt(F.sum(F.when(hot & (F.col("kind") == "c"), F.col("qw") * F.col("qw")).otherwise(0.0))).alias("hot_c"),
-        F.sum(F.when(F.col("kind") == "b", F.col("n_texts")).otherwise(0)).alias("reach"),
+        *_unread_bounds(), F.sum(F.when(F.col("kind") == "b", F.col("n_texts")).otherwise(0)).alias("reach")
     )
     # With frequent terms left out, the lowest score is still known to be 0 if
     # some text is known to be unmatched.
@@ -199,16 +267,17 @@ def _answered(terms: DataFrame, index: Index, alpha: float, k: int, hot_texts: i
         (F.col("n_hot") == 0) | (F.lit(not index.signed) & some_unmatched)
     )
     queries = queries.select("q_key", "n_hot", "hot_b", "hot_c")
-    partial = _rare_sums(terms, index, hot_texts)
-    if terms.filter(hot).isEmpty():
+    heads = not terms.filter("unread IS NOT NULL").isEmpty()
+    partial = _read_sums(terms, index, heads)
+    if not heads:
         candidates, known = partial, _complete_limits(_stats(partial), index).join(queries, "q_key")
     else:
         queries = cut_lineage(queries)
         partial = cut_lineage(partial)
-        candidates = cut_lineage(_completed(_worth_completing(partial, queries, alpha, k), terms, index, hot_texts))
+        candidates = cut_lineage(_completed(_worth_completing(partial, queries, alpha, k), terms, index))
         highest = candidates.groupBy("q_key").agg(F.max("b").alias("best_b"))
         rare_only = F.col("n_hot") == 0
-        # No text with frequent terms only may exceed the highest score found.
+        # No text in unread blocks only may exceed the highest score found.
         known = (
             _complete_limits(_stats(partial), index).join(queries, "q_key").join(highest, "q_key")
             .filter(rare_only | (F.col("best_b") >= F.col("hot_b")))
@@ -227,7 +296,7 @@ def _answered(terms: DataFrame, index: Index, alpha: float, k: int, hot_texts: i
     ).select(*columns)
     fields = ["q_key", "text_key", "b", "bm25", "dense", "score"]
     stats = cut_lineage(stats)
-    return Scored(best.select(*fields).join(stats.select("q_key"), "q_key", "left_semi"), stats)
+    return Scored(best.select(*fields).join(stats.select("q_key"), "q_key", "left_semi"), stats), _goals(candidates, queries, alpha, k)
 
 
 def _with_padding(docs: DataFrame, queries: DataFrame, scored: Scored, index: Index, alpha: float, k: int) -> DataFrame:
