@@ -208,6 +208,8 @@ def best_texts(queries: DataFrame, index: Index, alpha: float, k: int, hot_texts
     """Exact best k texts for distinct queries (q_key, q_text)."""
     terms = cut_lineage(_weighed_terms(queries, index, alpha).withColumn("hot_texts", F.lit(hot_texts).cast("long")))
     found, goals = _answered(terms, index, alpha, k)
+    if hot_texts >= index.n_texts:
+        return found
     while True:
         rest = terms.filter(F.col("hot_texts") < index.n_texts).join(found.stats.select("q_key"), "q_key", "left_anti")
         if rest.isEmpty():
