@@ -45,7 +45,7 @@ def train_intent(
     n = sum(counts.values())
     weights = F.create_map(*[F.lit(v) for k, c in counts.items() for v in (k, n / (len(counts) * c))])
     weighted = grams.withColumn("weight", weights[F.col("label")]).persist()
-    terms = [r["term"] for r in term_vocab(labelled, text, max_features, (1, 2)).orderBy("term").select("term").collect()]
+    terms = [r["term"] for r in term_vocab(labelled, text, max_features, (1, 2), one_pass=True).orderBy("term").select("term").collect()]
     vectorizer = CountVectorizerModel.from_vocabulary(terms, GRAMS, "_counts")
     vectorized = vectorizer.transform(weighted)
     idf = IDF(inputCol="_counts", outputCol="_idf").fit(vectorized)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from replyscope.constants import STOP_WORDS
 from replyscope.functions.text import tokenize_word, word_ngrams
+from replyscope.operators.frequent import frequent_grams, gram_rows
 from replyscope.session import spread_by
 
 BROADCAST_TERMS = 100_000  # vocabularies up to this size are broadcast
@@ -31,16 +32,16 @@ def vocabulary(counts: DataFrame, max_features: int | None) -> DataFrame:
     return terms if max_features is None else terms.orderBy(F.desc("cf"), "term").limit(max_features)
 
 
-def term_vocab(docs: DataFrame, text: str, max_features: int | None, ngram=(1, 1), stop_words=STOP_WORDS) -> DataFrame:
-    """Vocabulary of a corpus. A document's grams are counted before they leave
-    its row: every distinct gram with its number of repetitions."""
-    copies = F.col("copies") if "copies" in docs.columns else F.lit(1).cast("long")
-    tokens = docs.select(copies.alias("copies"), tokenize_word(F.col(text), stop_words).alias("_tokens"))
-    grams = tokens.withColumn("_row", F.monotonically_increasing_id()).select(
-        "_row", "copies", F.explode(word_ngrams(F.col("_tokens"), *ngram)).alias("term")
-    )
-    counts = grams.groupBy("_row", "copies", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return vocabulary(counts, max_features)
+def term_vocab(
+    docs: DataFrame, text: str, max_features: int | None, ngram=(1, 1), stop_words=STOP_WORDS, one_pass: bool = False
+) -> DataFrame:
+    """Vocabulary of a corpus: (term, df, cf). With a limit, rare terms are ruled out
+    in a first pass, so that few are shuffled one by one. `one_pass` counts all terms:
+    less reading, more shuffle, the same rows; for texts that are few or costly to read."""
+    if max_features is not None and not one_pass:
+        return frequent_grams(docs, text, max_features, ngram, stop_words).select("term", "df", "cf")
+    terms = gram_rows(docs, text, ngram, stop_words).groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    return terms if max_features is None else terms.orderBy(F.desc("cf"), "term").limit(max_features)
 
 
 def with_idf(vocab: DataFrame, n_docs: int) -> DataFrame:
