@@ -160,7 +160,8 @@ def mix_plan(
     before = F.sum("c").over(Window.partitionBy(*GROUP, "size").orderBy("range")) - F.col("c")
     by_range = stored(by_range.select(*GROUP, "size", "range", before.alias("before")), "ranges")
     rank = F.row_number().over(Window.partitionBy(*GROUP, "size", "range").orderBy("mark", "key", "row_a", "row_b"))
-    some = some.join(by_range, [*GROUP, "size", "range"]).withColumn("again", (F.col("before") + rank <= F.col("take")).cast("long"))
+    # Both sides are needed by these keys, so a merge moves nothing twice; ranges grow with the documents and are not broadcast.
+    some = some.join(by_range.hint("merge"), [*GROUP, "size", "range"]).withColumn("again", (F.col("before") + rank <= F.col("take")).cast("long"))
     rest = chosen.filter(~open_).withColumn("again", (F.col("take") > 0).cast("long"))
     columns = ["key", "row_a", "row_b", "size", "source_size", "target", "rounds", "again"]
     both = some.select(*columns).unionByName(rest.select(*columns))
