@@ -35,6 +35,7 @@ def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang
     """(lang, gram, logp): smoothed log-probabilities of each language's
     trigrams, with gram null for everything unseen."""
     counts = _gram_counts(labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")), ["lang"], "text")
+    counts = cut_lineage(counts, "counts")  # used three times
     size = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
     smooth = F.col("total") + F.col("kinds") + 1
     seen = counts.join(size, "lang").select("lang", "gram", F.log((F.col("n") + 1) / smooth).alias("logp"))
