@@ -24,13 +24,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyscope.operators.ordering import top_per_group
 from replyscope.session import cut_lineage, own_scratch
 
-QUERY_BLOCK = 2_000
+QUERY_BLOCK = 20_000
+QUERY_PARTS = 16  # of the queries that read a block, as long as they are no larger than QUERY_BLOCK
+LEAST_QUERIES = 2_000  # of a part, below that there are fewer parts
 VECTOR_BLOCK = 20_000
 PIVOTS = 256
 SLICE = 128  # queries whose scores a task holds at a time
@@ -90,11 +92,16 @@ def _plain(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, F.col("vector").cast("array<double>").alias("vector"))
 
 
+def _parts(n: Column) -> Column:
+    """Parts of the n queries of a block; the block is sent once to each of them."""
+    return F.greatest(F.ceil(n / QUERY_BLOCK), F.least(F.lit(QUERY_PARTS), F.ceil(n / LEAST_QUERIES))).cast("int")
+
+
 def _compared(asked: DataFrame, filed: DataFrame, k: int) -> DataFrame:
     """(query_id, doc_id, dense): the best k of every block that a query reads, from
     asked (query_id, vector, block) and filed (doc_id, vector, block). A block that very
     many queries read is compared with them in several tasks."""
-    read = cut_lineage(asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("parts")), "read")
+    read = cut_lineage(asked.groupBy("block").agg(_parts(F.count(F.lit(1))).alias("parts")), "read")
     left = asked.join(read, "block").select("query_id", "vector", "block", F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int").alias("part"))
     right = filed.join(read, "block").select("doc_id", "vector", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     kinds = {f.name: f.dataType.simpleString() for f in (*left.schema, *right.schema)}

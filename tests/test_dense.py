@@ -76,3 +76,8 @@ def test_approximate_falls_back_on_the_exact_answer(spark):
     assert answers(dense.dense_approximate(q, v, 5)) == plain(q, v, 5)  # nothing to gain from buckets
     assert dense.dense_approximate(q, v.limit(0), 5).count() == dense.dense_approximate(q.limit(0), v, 5).count() == 0
     assert dense.dense_cosine(q, v.limit(0), 5).count() == 0
+
+
+def test_a_block_is_sent_to_few_parts_of_its_queries(spark):
+    rows = spark.createDataFrame([(1,), (6_000,), (100_000,), (615_360,)], "n long").orderBy("n")
+    assert [r[0] for r in rows.select(dense._parts(F.col("n"))).collect()] == [1, 3, 16, 31]
