@@ -37,3 +37,17 @@ def test_saved_model_is_compared_with_the_one_in_memory(spark, tmp_path, monkeyp
     assert len(got) == 60 and all(r.same for r in got)
     monkeypatch.setattr(search.classifier, "model_load", lambda path: None)
     assert not any(r.same for r in search.model_save(spark, str(tmp_path)).collect())
+
+
+def test_saved_model_has_its_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"text {c} of {t}") for c in range(30) for t in range(4)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    query, sql = search.ENTRIES["model_save"]
+    want = sorted(con.execute(sql).fetchall())
+    assert sorted(map(tuple, query(spark, str(tmp_path)).select("tweet_id", "same").collect())) == want and len(want) == 60
+    intents, _ = search.ENTRIES["model_save_intents"]
+    assert intents(spark, str(tmp_path)).columns == ["tweet_id", "intent", "intent_confidence", "same"]
