@@ -87,3 +87,18 @@ def test_many_queries_join_no_query_with_every_text(index, queries, monkeypatch)
     monkeypatch.setattr(tiles, "MOST_CELLS", 0)
     monkeypatch.setattr(retrieval, "_read_sums", lambda *_: pytest.fail("postings joined with queries"))
     assert _rows(retrieval.ranked_docs(queries, index, 0.7, 3))
+
+
+def test_blocks_are_written_once(spark, index, queries, monkeypatch):
+    """Blocks meet each other without being copied for every block of the other side."""
+    monkeypatch.setattr(tiles, "MOST_CELLS", 0)
+    monkeypatch.setattr(products, "LEAST", 10)
+    plans, dealt = [], products.Products._dealt
+    monkeypatch.setattr(products.Products, "_dealt", lambda *a: plans.append(dealt(*a)) or plans[-1])
+    ranked = _rows(retrieval.ranked_docs(queries, index, 0.7, 3))
+    assert ranked and len(plans) == 2
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "Exchange" not in plan
+    monkeypatch.setattr(products, "LEAST", 1_000_000)
+    assert _rows(retrieval.ranked_docs(queries, index, 0.7, 3)) == ranked
